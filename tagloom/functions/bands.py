@@ -19,20 +19,16 @@ class Band:
     lo_open: bool = False
     hi_open: bool = False
 
-    def holds(self, value: Column) -> Column:
+    def test(self, column: str) -> str:
         checks = []
         if self.lo is not None:
-            checks.append(value > self.lo if self.lo_open else value >= self.lo)
+            checks.append(f"`{column}` {'>' if self.lo_open else '>='} {self.lo}")
         if self.hi is not None:
-            checks.append(value < self.hi if self.hi_open else value <= self.hi)
-        if not checks:
-            return value.isNotNull()
-        return checks[0] if len(checks) == 1 else checks[0] & checks[1]
-
-
-def score_bands(value: Column, bands: Sequence[Band], default: int = 0) -> Column:
-    """Score of the first band that holds the value; ``default`` if none does or it is null."""
-    chain = None
-    for band in bands:
-        chain = (F if chain is None else chain).when(band.holds(value), F.lit(band.score))
-    return F.lit(default) if chain is None else chain.otherwise(F.lit(default))
+            checks.append(f"`{column}` {'<' if self.hi_open else '<='} {self.hi}")
+        return " AND ".join(checks) or f"`{column}` IS NOT NULL"
+
+
+def score_bands(column: str, bands: Sequence[Band], default: int = 0) -> Column:
+    """Score of the first band that holds ``column``; ``default`` if none does or it is null."""
+    branches = " ".join(f"WHEN {band.test(column)} THEN {band.score}" for band in bands)
+    return F.expr(f"CASE {branches} ELSE {default} END" if bands else str(default))

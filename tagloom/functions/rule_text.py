@@ -18,23 +18,26 @@ def parse_rule(rule: Column) -> Column:
     several pairs with one key wins, under any ``spark.sql.mapKeyDedupPolicy``. A pair
     without ``=`` gets a null value; ``RuleBook.rule_for`` turns that into an error.
     """
-    pieces = F.split(rule, PAIR_SEPARATOR)
-    keys = F.transform(pieces, lambda p: F.substring_index(p, KEY_SEPARATOR, 1))
-    values = F.transform(
-        pieces,
-        lambda p: F.when(
-            F.instr(p, KEY_SEPARATOR) > 0,
-            F.substr(p, F.instr(p, KEY_SEPARATOR) + F.lit(1)),
-        ),
-    )
-    pairs = F.arrays_zip(keys.alias("key"), values.alias("value"))
-    last_of_each_key = F.filter(
-        pairs,
-        lambda pair, i: ~F.exists(
-            F.slice(pairs, i + F.lit(2), F.size(pairs)), lambda later: later["key"] == pair["key"]
-        ),
-    )
-    return F.map_from_entries(last_of_each_key)
+
+    def pair(piece: Column) -> Column:
+        at = F.instr(piece, KEY_SEPARATOR)
+        value = F.when(at > 0, F.substr(piece, at + F.lit(1)))
+        return F.struct(
+            F.substring_index(piece, KEY_SEPARATOR, 1).alias("key"), value.alias("value")
+        )
+
+    def last_of_each_key(pairs: Column) -> Column:
+        return F.filter(
+            pairs,
+            lambda pair, i: ~F.exists(
+                F.slice(pairs, i + F.lit(2), F.size(pairs)),
+                lambda later: later["key"] == pair["key"],
+            ),
+        )
+
+    # The one-element array binds the pairs to a variable, so they are built once per rule.
+    pairs = F.array(F.transform(F.split(rule, PAIR_SEPARATOR), pair))
+    return F.get(F.transform(pairs, lambda p: F.map_from_entries(last_of_each_key(p))), F.lit(0))
 
 
 def range_bounds(rule: Column, numeric: bool = False) -> tuple[Column, Column]:

@@ -75,13 +75,11 @@ def nearest_centre(
     """
     candidates = []
     for cluster, centre in enumerate(centres):
-        distance = F.lit(0.0)
-        for column, at in zip(columns, centre, strict=True):
-            gap = F.col(column).cast("double") - F.lit(float(at))
-            distance = distance + gap * gap
-        candidates.append(F.struct(distance.alias("distance"), F.lit(cluster).alias("cluster")))
-    best = candidates[0] if len(candidates) == 1 else F.least(*candidates)
-    return frame.withColumn(out, best["cluster"])
+        gaps = [f"(`{c}` - {float(at)!r}D)" for c, at in zip(columns, centre, strict=True)]
+        distance = " + ".join(f"{gap} * {gap}" for gap in gaps)
+        candidates.append(f"named_struct('distance', {distance}, 'cluster', {cluster})")
+    best = candidates[0] if len(candidates) == 1 else f"least({', '.join(candidates)})"
+    return frame.withColumn(out, F.expr(f"({best}).cluster"))
 
 
 def rank_clusters(centres: Centres) -> list[int]:

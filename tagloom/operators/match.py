@@ -18,6 +18,7 @@ MAX_LEVEL = 62
 ORDINAL_LIMIT = 1 << 61
 # Leading bytes of a text key that make its ordinal.
 ORDINAL_BYTES = 7
+RANGE_KEY = "__range_key"
 
 
 def no_tags() -> Column:
@@ -70,17 +71,20 @@ def label_range(
         F.col("id").cast("string").alias("id"), lo.alias("lo"), hi.alias("hi")
     ).filter("lo <= hi")
     rows = ranges.collect() if values.small else None
+    # A column of its own, so that the key is worked out once for all ranges.
+    keyed = frame.withColumn(RANGE_KEY, key)
+    key = F.col(RANGE_KEY)
     if rows is not None and len(rows) <= MAX_INLINE_RANGES:
         tests = [F.when(key.between(F.lit(r["lo"]), F.lit(r["hi"])), F.lit(r["id"])) for r in rows]
-        return frame.withColumn(out, F.array_compact(F.array(*tests)) if tests else no_tags())
-    keyed = frame.withColumn("__range_key", key)
+        label = F.array_compact(F.array(*tests)) if tests else no_tags()
+        return keyed.withColumn(out, label).drop(RANGE_KEY)
     hits = (
-        interval_hits(keyed.select(F.col("__range_key").alias("key")), ranges, values.small)
+        interval_hits(keyed.select(key.alias("key")), ranges, values.small)
         .groupBy("key")
         .agg(F.array_sort(F.collect_set("id")).alias("value"))
     )
-    found = look_up(keyed, F.col("__range_key"), hits, out, small=False)
-    return found.withColumn(out, F.coalesce(out, no_tags())).drop("__range_key")
+    found = look_up(keyed, key, hits, out, small=False)
+    return found.withColumn(out, F.coalesce(out, no_tags())).drop(RANGE_KEY)
 
 
 def match_range(

@@ -124,14 +124,14 @@ def psm_features(orders: DataFrame, user_id: str = "memberid") -> DataFrame:
 def rfm_scores(features: DataFrame, bands: RfmBands = RfmBands()) -> DataFrame:
     """Replace the three features by their scores; other columns stay."""
     return features.withColumns(
-        {c: score_bands(F.col(c), getattr(bands, c)) for c in RFM_COLUMNS}
+        {c: score_bands(c, getattr(bands, c)) for c in RFM_COLUMNS}
     )
 
 
 def rfe_scores(features: DataFrame, bands: RfeBands = RfeBands()) -> DataFrame:
     """Replace the three features by their scores; other columns stay."""
     return features.withColumns(
-        {c: score_bands(F.col(c), getattr(bands, c)) for c in RFE_COLUMNS}
+        {c: score_bands(c, getattr(bands, c)) for c in RFE_COLUMNS}
     )
 
 

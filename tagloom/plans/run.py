@@ -9,14 +9,17 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.functions.tags import canonical, to_tag_list
+from tagloom.functions.tags import canonical
 from tagloom.operators.match import no_tags
-from tagloom.operators.merge import one_row_per_user
-from tagloom.plans.jobs import ProfileJob, TagJob, shared_profile
+from tagloom.operators.merge import as_tag_lists, one_row_per_user
+from tagloom.plans.jobs import LOGS, ORDERS, ProfileJob, TagJob, shared_profile
 from tagloom.sources.rules import RuleBook
 from tagloom.sources.spec import SourceSpec, read_source
 from tagloom.stores.hadoop import scratch_folder
 
+# Sources whose profile has one row per user by construction.
+AGGREGATED = (ORDERS, LOGS)
+
 Reader = Callable[[SparkSession, SourceSpec], DataFrame]
 
 
@@ -60,29 +63,36 @@ def run_all(
 def compute_all(
     spark: SparkSession, jobs: Sequence[TagJob], rules: RuleBook, read: Reader = read_source
 ) -> DataFrame:
-    """New tags of all jobs, ``(userId, tags)`` with one row per user."""
+    """New tags of all jobs, ``(userId, tags)`` with one row per user.
+
+    Aggregated profiles leave their rows hash-partitioned by user, and a union of equally
+    partitioned frames keeps that, so the final reduction moves no data again.
+    """
     batches = []
     for group in _groups(jobs, rules):
         if isinstance(group, TagJob):
             new = compute_job(spark, group, rules, read)
-            batches.append(new.select("userId", to_tag_list(F.col("tagsId")).alias("tags")))
+            batches.append(one_row_per_user(as_tag_lists(new)))
         else:
             spec, members = group
-            batches.append(_compute_group(spark, members, rules, read(spark, spec)))
+            batch = _compute_group(spark, members, rules, read(spark, spec))
+            aggregated = members[0].source in AGGREGATED
+            batches.append(batch if aggregated else one_row_per_user(batch))
     if not batches:
         raise ValueError("no jobs to run")
-    return one_row_per_user(*batches)
+    return batches[0] if len(batches) == 1 else one_row_per_user(*batches)
 
 
 def _groups(jobs: Sequence[TagJob], rules: RuleBook) -> list:
     """Single jobs, and ``(spec, jobs)`` for profile jobs over one data set."""
     groups: list = []
     shared: dict = defaultdict(list)
+    definitions = rules.rules_for([job.level4_id for job in jobs])
     for job in jobs:
         if not isinstance(job, ProfileJob):
             groups.append(job)
             continue
-        spec = SourceSpec.from_map(rules.rule_for(job.level4_id))
+        spec = SourceSpec.from_map(definitions[job.level4_id])
         where = (job.source, getattr(job, "user_id", None), replace(spec, fields=None))
         shared[where].append((spec, job))
     for (_, _, where), members in shared.items():

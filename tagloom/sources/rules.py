@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -112,19 +112,36 @@ class RuleBook:
     def _rows(self) -> list | None:
         return rows_if_small(self.rules)
 
+    @cached_property
+    def _frame(self) -> DataFrame:
+        """The rules, from the driver copy when there is one."""
+        if self._rows is None:
+            return self.rules
+        types = pa.int32(), pa.int32(), pa.string()
+        return local_frame(self.spark, self._rows, *zip(RULE_COLUMNS, types))
+
     def rule_for(self, level4_id: int) -> dict[str, str]:
         """Parsed definition of a tag."""
+        return self.rules_for([level4_id])[level4_id]
+
+    def rules_for(self, level4_ids: Sequence[int]) -> dict[int, dict[str, str]]:
+        """Parsed definitions of several tags, from one read."""
         parsed = (
-            self.rules.filter(F.col("id") == level4_id)
-            .select(parse_rule(F.col("rule")).alias("pairs"), "rule")
-            .head(1)
+            self._frame.filter(F.col("id").isin(list(level4_ids)))
+            .select("id", "rule", parse_rule(F.col("rule")).alias("pairs"))
+            .collect()
         )
-        if not parsed:
-            raise MissingRule(f"no rule row with id {level4_id}")
-        pairs, rule = parsed[0]
-        if pairs is None or None in pairs.values():
-            raise MalformedRule(f"rule of tag {level4_id} has a pair without '=': {rule!r}")
-        return pairs
+        found = {}
+        for row in parsed:
+            if row["pairs"] is None or None in row["pairs"].values():
+                raise MalformedRule(
+                    f"rule of tag {row['id']} has a pair without '=': {row['rule']!r}"
+                )
+            found.setdefault(row["id"], row["pairs"])
+        for level4_id in level4_ids:
+            if level4_id not in found:
+                raise MissingRule(f"no rule row with id {level4_id}")
+        return found
 
     def values_for(self, level4_id: int) -> TagValues:
         """Level-5 rows of a tag."""

@@ -29,10 +29,13 @@ class ModelStore:
 
         The model is written aside and renamed, so a half-written one is never loaded.
         """
-        if not self.exists(name):
-            model = fit()
-            aside = f"{self.root}/_{name}-{uuid.uuid4().hex}"
-            model.write().save(aside)
-            if self.exists(name) or not self._fs.rename(aside, self.path(name)):
-                self._fs.delete(aside)
+        if self.exists(name):
+            return KMeansModel.load(self.path(name))
+        model = fit()
+        aside = f"{self.root}/_{name}-{uuid.uuid4().hex}"
+        model.write().save(aside)
+        if not self.exists(name) and self._fs.rename(aside, self.path(name)):
+            return model
+        # Another run saved this model meanwhile.
+        self._fs.delete(aside)
         return KMeansModel.load(self.path(name))
