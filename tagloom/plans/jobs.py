@@ -35,6 +35,7 @@ from tagloom.operators.scores import (
     rfm_scores,
 )
 from tagloom.sources.rules import TagValues
+from tagloom.stores.hadoop import scratch_folder, written
 from tagloom.stores.models import ModelStore
 
 # Ids of the tag definitions.
@@ -179,6 +180,13 @@ class MiningJob(ProfileJob):
     def must_fit(self) -> bool:
         return not self.models.exists(self.model_name)
 
+    def compute(self, business: DataFrame, values: TagValues) -> DataFrame:
+        profile = self.profile(business)
+        if self.must_fit():
+            # Read twice, for the fit and for the labels.
+            profile = written(profile, scratch_folder(profile.sparkSession))
+        return explode_label(self.label(profile, values, "tags"))
+
     def _scored(self) -> Column:
         return reduce(Column.__and__, [F.col(c).isNotNull() for c in self.columns])
 

@@ -15,7 +15,7 @@ from tagloom.operators.merge import as_tag_lists, one_row_per_user
 from tagloom.plans.jobs import LOGS, ORDERS, ProfileJob, TagJob, shared_profile
 from tagloom.sources.rules import RuleBook
 from tagloom.sources.spec import SourceSpec, read_source
-from tagloom.stores.hadoop import scratch_folder
+from tagloom.stores.hadoop import delete_folder, scratch_folder, written
 
 # Sources whose profile has one row per user by construction.
 AGGREGATED = (ORDERS, LOGS)
@@ -57,14 +57,25 @@ def run_all(
     Jobs that read one data set share a single scan and, for orders and logs, a single
     per-user aggregate. The stored result equals that of ``run_job`` for each in turn.
     """
-    store.merge_upsert_lists(compute_all(spark, jobs, rules, read))
+    scratch = scratch_folder(spark)
+    try:
+        store.merge_upsert_lists(compute_all(spark, jobs, rules, read, scratch))
+    finally:
+        delete_folder(spark, scratch)
 
 
 def compute_all(
-    spark: SparkSession, jobs: Sequence[TagJob], rules: RuleBook, read: Reader = read_source
+    spark: SparkSession,
+    jobs: Sequence[TagJob],
+    rules: RuleBook,
+    read: Reader = read_source,
+    scratch: str | None = None,
 ) -> DataFrame:
     """New tags of all jobs, ``(userId, tags)`` with one row per user.
 
+    A profile that a model is to be fitted on is written to ``scratch`` first, and the
+    result reads it from there.
+
     Aggregated profiles leave their rows hash-partitioned by user, and a union of equally
     partitioned frames keeps that, so the final reduction moves no data again.
     """
@@ -75,7 +86,7 @@ def compute_all(
             batches.append(one_row_per_user(as_tag_lists(new)))
         else:
             spec, members = group
-            batch = _compute_group(spark, members, rules, read(spark, spec))
+            batch = _compute_group(members, rules, read(spark, spec), scratch)
             aggregated = members[0].source in AGGREGATED
             batches.append(batch if aggregated else one_row_per_user(batch))
     if not batches:
@@ -104,11 +115,11 @@ def _groups(jobs: Sequence[TagJob], rules: RuleBook) -> list:
 
 
 def _compute_group(
-    spark: SparkSession, jobs: list[ProfileJob], rules: RuleBook, business: DataFrame
+    jobs: list[ProfileJob], rules: RuleBook, business: DataFrame, scratch: str | None
 ) -> DataFrame:
     profile = shared_profile(jobs, business)
     if any(job.must_fit() for job in jobs):
-        profile = written(spark, profile)
+        profile = written(profile, scratch or scratch_folder(profile.sparkSession))
     labels = [f"__label_{i}" for i in range(len(jobs))]
     labelled = profile
     for job, label in zip(jobs, labels):
@@ -120,14 +131,6 @@ def _compute_group(
     )
 
 
-def written(spark: SparkSession, frame: DataFrame) -> DataFrame:
-    """The frame as a table in the shared folder, so that later reads cost no recompute
-    and lost executors lose none of it."""
-    path = f"{scratch_folder(spark)}/profile"
-    frame.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def tag_counts(persona: DataFrame) -> DataFrame:
     """Run report: stored users per tag, from ``(userId, tags)``."""
     return (

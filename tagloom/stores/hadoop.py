@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 class FileSystem:
@@ -72,3 +72,15 @@ def scratch_folder(spark: SparkSession) -> str:
     fs.make_folder(folder)
     fs.delete_on_exit(folder)
     return folder
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    FileSystem(spark, folder).delete(folder)
+
+
+def written(frame: DataFrame, folder: str) -> DataFrame:
+    """The frame as a table in ``folder``, which cuts its lineage: later reads recompute
+    nothing, and lost executors lose none of it."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
