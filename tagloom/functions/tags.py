@@ -8,23 +8,32 @@ from pyspark.sql import functions as F
 TAG_SEPARATOR = ","
 
 
-def canonical(tags: Column) -> Column:
-    """Sort a tag array: whole numbers by value, then other text. Duplicates stay."""
+def without_nulls(tags: Column) -> Column:
+    """Distinct tags of an array that are not null; an expression Spark compiles, which a
+    lambda is not."""
+    return F.array_except(tags, F.array(F.lit(None).cast("string")))
 
-    def sort_key(tag: Column) -> Column:
-        number = tag.try_cast("bigint")
-        return F.struct(number.isNull().alias("text"), number.alias("number"), tag.alias("tag"))
 
-    return F.transform(F.array_sort(F.transform(tags, sort_key)), lambda s: s["tag"])
+def canonical(tags: Column) -> Column:
+    """Sort a tag array: whole numbers by value, then other text. Duplicates stay.
+
+    There is no branch, so that Spark works out each repeated part once per row.
+    """
+    numbers = tags.try_cast("array<bigint>")
+    # Text comes first here, since it has no number and nulls sort first.
+    pairs = F.sort_array(F.arrays_zip(numbers.alias("number"), tags.alias("tag")))
+    ordered = pairs["tag"]
+    texts = (F.array_position(pairs["number"], F.array_min(numbers)) - 1).cast("int")
+    numbers_first = F.concat(
+        F.slice(ordered, texts + 1, F.size(ordered)), F.slice(ordered, 1, texts)
+    )
+    # Without any number ``texts`` is null.
+    return F.coalesce(numbers_first, ordered)
 
 
 def merge_tag_lists(new: Column, old: Column) -> Column:
     """Union of two tag arrays. A null side passes the other one through untouched."""
-    return (
-        F.when(new.isNull(), old)
-        .when(old.isNull(), new)
-        .otherwise(canonical(F.array_union(new, old)))
-    )
+    return F.coalesce(canonical(F.array_union(new, old)), new, old)
 
 
 def to_tag_list(tags_id: Column) -> Column:

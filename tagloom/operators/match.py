@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.rule_text import range_bounds
+from tagloom.functions.tags import without_nulls
 from tagloom.operators.lookup import look_up, salted_join
 from tagloom.sources.rules import TagValues
 
@@ -76,7 +77,7 @@ def label_range(
     key = F.col(RANGE_KEY)
     if rows is not None and len(rows) <= MAX_INLINE_RANGES:
         tests = [F.when(key.between(F.lit(r["lo"]), F.lit(r["hi"])), F.lit(r["id"])) for r in rows]
-        label = F.array_compact(F.array(*tests)) if tests else no_tags()
+        label = without_nulls(F.array(*tests)) if tests else no_tags()
         return keyed.withColumn(out, label).drop(RANGE_KEY)
     hits = (
         interval_hits(keyed.select(key.alias("key")), ranges, values.small)

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tagloom.operators.modal import most_frequent
 
 
+# Length of ``yyyy-MM-dd``.
+DAY_LENGTH = 10
+
+
 def _money(name: str) -> Column:
     return F.col(name).try_cast("double")
 
@@ -55,9 +59,14 @@ def order_profile(orders: DataFrame, user_id: str = "memberid") -> DataFrame:
 
 
 def log_profile(logs: DataFrame, user_id: str = "global_user_id") -> DataFrame:
-    """One row per visitor: last log time (as text), page views and distinct pages."""
+    """One row per visitor: last log day (as text), page views and distinct pages.
+
+    The day is the start of the highest log time; cutting before the maximum gives the
+    same text. Distinct pages are counted by (visitor, page) first, then by visitor, so a
+    hot visitor's pages are spread over the tasks.
+    """
     return logs.groupBy(F.col(user_id).cast("string").alias("userId")).agg(
-        F.max(F.col("log_time").cast("string")).alias("last_log"),
+        F.max(F.substring(F.col("log_time").cast("string"), 1, DAY_LENGTH)).alias("last_log"),
         F.count("loc_url").alias("views"),
         F.countDistinct("loc_url").alias("pages"),
     )

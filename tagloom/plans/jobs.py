@@ -19,7 +19,7 @@ from tagloom.operators.clusters import (
     nearest_centre,
 )
 from tagloom.operators.match import explode_label, label_equal, label_range, no_tags
-from tagloom.operators.modal import modal_value
+from tagloom.operators.modal import modal_value_window
 from tagloom.operators.profiles import log_profile, order_profile, order_totals
 from tagloom.operators.scores import (
     PSM_COLUMNS,
@@ -158,7 +158,7 @@ class PaymentJob(ProfileJob):
         by_member = business.select(
             F.col("memberid").cast("string").alias("userId"), F.col("paymentcode").alias("payment")
         )
-        return modal_value(by_member, "userId", "payment")
+        return modal_value_window(by_member, "userId", "payment")
 
     def label(self, profile: DataFrame, values: TagValues, out: str) -> DataFrame:
         return label_equal(profile, F.col("payment"), values, out)

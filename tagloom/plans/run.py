@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.functions.tags import canonical
+from tagloom.functions.tags import canonical, without_nulls
 from tagloom.operators.match import no_tags
 from tagloom.operators.merge import as_tag_lists, one_row_per_user
 from tagloom.plans.jobs import LOGS, ORDERS, ProfileJob, TagJob, shared_profile
@@ -125,7 +125,7 @@ def _compute_group(
     for job, label in zip(jobs, labels):
         labelled = job.label(labelled, rules.values_for(job.level4_id), label)
     every = F.concat(*labels)
-    tags = canonical(F.array_distinct(F.array_compact(every)))
+    tags = canonical(without_nulls(every))
     return labelled.filter(F.size(every) > 0).select(
         "userId", F.nullif(tags, no_tags()).alias("tags")
     )

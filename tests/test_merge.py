@@ -16,8 +16,10 @@ def merged(spark, rows):
 
 
 def test_merge_tags(spark, ansi):
-    rows = [("5", "5,18"), (None, "5"), ("5", None), (None, None), (None, "5,5"), ("10", "9,x,2"), ("7", "7,7")]
-    assert merged(spark, rows) == ["5,18", "5", "5", None, "5,5", "2,9,10,x", "7"]
+    rows = [("5", "5,18"), (None, "5"), ("5", None), (None, None), (None, "5,5"), ("10", "9,x,2"), ("7", "7,7"), ("10,9", "007"), ("3", "-2,11"), ("a", "")]
+    assert merged(spark, rows) == [
+        "5,18", "5", "5", None, "5,5", "2,9,10,x", "7", "007,9,10", "-2,3,11", ",a"
+    ]
 
 
 tags = st.lists(st.sampled_from(["1", "2", "10", "33", "x"]), min_size=1, max_size=4)

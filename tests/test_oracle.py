@@ -24,6 +24,9 @@ def duck():
     connection.close()
 
 
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
+
+
 def normal(rows, order):
     def cell(value):
         if isinstance(value, float):
@@ -38,6 +41,8 @@ def test_matches_sql(spark, duck, name):
     frame = queries()[name](spark, SF_DIR)
     columns = sorted(frame.columns)
     found = [tuple(row) for row in frame.collect()]
+    described = duck.execute(f"DESCRIBE {oracle_sql()[name]}").fetchall()
+    assert {row[0]: row[1] for row in described} == {c: SQL_TYPES[t] for c, t in frame.dtypes}
     cursor = duck.execute(oracle_sql()[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
