@@ -35,6 +35,29 @@ def one_row_per_user(*batches: DataFrame) -> DataFrame:
     )
 
 
+def unite_batches(*batches: DataFrame) -> DataFrame:
+    """Union of ``(userId, tags)`` batches that each have one row per user.
+
+    Each batch gets a column of its own, so one grouping puts a user's arrays side by side.
+    Batches that come hash-partitioned by user are not shuffled again.
+    """
+    columns = [f"__tags_{i}" for i in range(len(batches))]
+    absent = F.lit(None).cast("array<string>")
+    parts = [
+        batch.select(
+            "userId", *[(F.col("tags") if c == own else absent).alias(c) for c in columns]
+        )
+        for own, batch in zip(columns, batches)
+    ]
+    side_by_side = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("userId")
+        .agg(*[F.any_value(c, True).alias(c) for c in columns])
+    )
+    united = reduce(merge_tag_lists, [F.col(c) for c in columns])
+    return side_by_side.select("userId", united.alias("tags"))
+
+
 def merge_with_store(new: DataFrame, old: DataFrame) -> DataFrame:
     """Users of the new batch with their tags united with the stored ones.
 

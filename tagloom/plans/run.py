@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.tags import canonical, without_nulls
 from tagloom.operators.match import no_tags
-from tagloom.operators.merge import as_tag_lists, one_row_per_user
+from tagloom.operators.merge import as_tag_lists, one_row_per_user, unite_batches
 from tagloom.plans.jobs import LOGS, ORDERS, ProfileJob, TagJob, shared_profile
 from tagloom.sources.rules import RuleBook
 from tagloom.sources.spec import SourceSpec, read_source
@@ -91,7 +91,7 @@ def compute_all(
             batches.append(batch if aggregated else one_row_per_user(batch))
     if not batches:
         raise ValueError("no jobs to run")
-    return batches[0] if len(batches) == 1 else one_row_per_user(*batches)
+    return batches[0] if len(batches) == 1 else unite_batches(*batches)
 
 
 def _groups(jobs: Sequence[TagJob], rules: RuleBook) -> list:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import merge_tags
 from tagloom.operators import merge_with_store, one_row_per_user
+from tagloom.operators.merge import unite_batches
 
 SCHEMA = "new string, old string"
 
@@ -47,15 +48,34 @@ def test_merge_with_store(spark):
     ]
 
 
-def test_one_row_per_user_keeps_equal_partitioning(spark):
-    """A union of frames aggregated by user is reduced without another shuffle."""
+def test_one_row_per_user(spark):
+    first = spark.createDataFrame([("1", ["5"]), ("1", ["5"]), ("2", ["7", "6"]), ("3", None)], "userId string, tags array<string>")
+    second = spark.createDataFrame([("1", ["10", "9"]), ("4", None)], "userId string, tags array<string>")
+    assert dict(map(tuple, one_row_per_user(first, second).collect())) == {
+        "1": ["5", "9", "10"],
+        "2": ["7", "6"],
+        "3": None,
+        "4": None,
+    }
 
-    def counts(n):
+
+def test_unite_batches_keeps_equal_partitioning(spark):
+    """Frames aggregated by user are united without another shuffle."""
+
+    def counts(n, low, high):
         ids = spark.range(n).select((F.col("id") % 500).cast("string").alias("userId"), "id")
         counted = ids.groupBy("userId").agg(F.count("*").cast("string").alias("c"))
-        return counted.select("userId", F.array("c").alias("tags"))
-
-    union = one_row_per_user(counts(5000), counts(100_000))
-    plan = union._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert sorted(map(tuple, union.collect())) == sorted((str(i), ["10", "200"]) for i in range(500))
+        return counted.select("userId", F.array("c").alias("tags")).filter(
+            F.col("userId").cast("int").between(low, high)
+        )
+
+    for adaptive in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        union = unite_batches(counts(5000, 0, 399), counts(100_000, 100, 499), counts(10_000, 0, 499))
+        plan = union._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3
+        expected = [
+            (str(i), (["10"] if i < 400 else []) + ["20"] + (["200"] if i >= 100 else [])) for i in range(500)
+        ]
+        assert sorted(map(tuple, union.collect())) == sorted(expected)
+    spark.conf.unset("spark.sql.adaptive.enabled")
