@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.plans import compute_job, match_jobs, mining_jobs, run_all, run_job, statistics_jobs, tag_counts
+from tagloom.plans import compute_all, compute_job, match_jobs, mining_jobs, run_all, run_job, statistics_jobs, tag_counts
 from tagloom.plans.jobs import AttributeJob, PsmJob, RfmJob, TagJob
 from tagloom.queries import standins
 from tagloom.queries.catalog import rule_book, standin_reader
@@ -117,3 +117,28 @@ def test_no_python_in_job_plans(spark, tmp_path):
         frame = compute_job(spark, job, rule_book(spark), standin_reader(SF_DIR))
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_run_all_adds_no_shuffle_for_the_store(spark, tmp_path):
+    """Neither the union of the batches nor the join with the store moves data again."""
+    store = SnapshotPersonaStore(spark, str(tmp_path / "p"))
+    store.upsert(spark.createDataFrame([("1", "5")], "userId string, tagsId string"))
+    jobs = match_jobs() + statistics_jobs(standins.ORDERS_AS_OF)
+    parts = [
+        frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        for frame in (
+            compute_all(spark, match_jobs(), rule_book(spark), standin_reader(SF_DIR)),
+            compute_all(spark, statistics_jobs(standins.ORDERS_AS_OF), rule_book(spark), standin_reader(SF_DIR)),
+        )
+    ]
+    plans = []
+    write = store._write
+    store._write = lambda rows, *rest: (plans.append(rows), write(rows, *rest))[1]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        run_all(spark, jobs, rule_book(spark), store, standin_reader(SF_DIR))
+        plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Without automatic broadcasts the test users add one shuffle, of the customers.
+    assert plan.count("Exchange hashpartitioning") == sum(parts) + 1
