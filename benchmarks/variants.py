@@ -25,6 +25,9 @@ from tagloom.stores.hadoop import scratch_folder
 from tagloom.stores.persona import SnapshotPersonaStore
 
 
+RUNS = 3
+
+
 def enlarged(frame: DataFrame, factor: int, key: str, hot: bool = False) -> DataFrame:
     if factor == 1:
         return frame
@@ -122,7 +125,7 @@ def main() -> None:
     rows = {name: frame.count() for name, frame in data.items()}
     print(json.dumps({"rows": rows, "factor": factor}))
     for step, ways in pairs.items():
-        times = {way: round(median_seconds(run, 3), 2) for way, run in ways.items()}
+        times = {way: round(median_seconds(run, RUNS), 2) for way, run in ways.items()}
         print(json.dumps({step: times}), flush=True)
     spark.stop()
 
