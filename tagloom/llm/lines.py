@@ -82,3 +82,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_length: int = 1) -> Dat
 
 def line_dedup_digest(docs: DataFrame) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def without_shared_lines(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` with the shared lines gone and ``n_chars`` brought up to date."""
+    cleaned = dedup_lines(docs)
+    columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
+    return cleaned.select(*columns)
