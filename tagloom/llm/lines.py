@@ -57,7 +57,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_length: int = 1) -> Dat
         .filter(F.col("docs") >= min_docs)
         .select("hash")
     )
-    dropped = (
+    # Written, so that the join below reads both sides through a shuffle of its own and a
+    # text that many rows share can be split there.
+    dropped = scratch.write(
         hashes.select("text_id", F.posexplode("hashes").alias("position", "hash"))
         .join(scratch.small_side(shared), "hash")
         .groupBy("text_id")
