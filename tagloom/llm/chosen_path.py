@@ -28,6 +28,7 @@ LEAST_AGREEING = 34
 TREES = 20
 LEVELS = 5
 SMALL_NODE = 1024
+FIRST_PARTNERS = 8
 SEED = 0x5EED_0000_0002
 
 _MIX = np.random.default_rng(SEED).integers(1, 2**63, size=(2, COORDINATES), dtype=np.uint64)
@@ -105,15 +106,20 @@ class _Nodes:
 
     Rows come sorted by (node, n). The rows at distance 1, 2, ... are compared for all nodes
     at once; a row drops out when its node ends or its partners get too large to be similar.
+    Pairs of one component are left out.
+
+    Out come the pairs whose sketches are alike. Of a node with very many of them only the
+    most promising come, and a row (node, null) that says so: with ``partners`` 0 a maximal
+    spanning forest, else the best ``partners`` of each set.
     """
 
-    def __init__(self, percent: int, thin: bool):
-        self.percent, self.thin = percent, thin
+    def __init__(self, percent: int, partners: int):
+        self.percent, self.partners = percent, partners
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            table = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "rep", "n", "component")}
+            table = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "origin", "rep", "n", "component")}
             sketch = batch.column("sketch").to_pylist()
             table["sketch"] = np.frombuffer(b"".join(sketch), np.uint8).reshape(-1, COORDINATES)
             if rest is not None:
@@ -129,67 +135,88 @@ class _Nodes:
 
     def pairs(self, rows: dict[str, np.ndarray]) -> pa.RecordBatch:
         node, rep, n, component, sketch = (rows[c] for c in ("node", "rep", "n", "component", "sketch"))
-        left, right = [], []
+        none = np.empty(0, np.int64)
+        left, right, alike = [none], [none], [none]
         at, shift = np.arange(len(node)), 0
         while len(at):
             shift += 1
             at = at[at + shift < len(node)]
             to = at + shift
-            near = (node[at] == node[to]) & (100 * n[at] >= self.percent * n[to])
-            at = at[near]
+            at = at[(node[at] == node[to]) & (100 * n[at] >= self.percent * n[to])]
             apart = at[component[at] != component[at + shift]]
             for part in np.array_split(apart, len(apart) // 100_000 + 1):
                 agree = (sketch[part] == sketch[part + shift]).sum(axis=1)
-                found = part[agree >= LEAST_AGREEING]
-                left.append(found), right.append(found + shift)
-        left, right = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
-        still_open = np.empty(0, np.int64)
-        if self.thin and len(left):
-            left, right, still_open = self.thinned(node, left, right)
-        a = np.concatenate([rep[left], node[still_open]])
-        b = pa.array(np.concatenate([rep[right], node[still_open]]), mask=np.arange(len(a)) >= len(left))
+                found = agree >= LEAST_AGREEING
+                left.append(part[found]), right.append(part[found] + shift), alike.append(agree[found])
+        left, right, alike = map(np.concatenate, (left, right, alike))
+        left, right, more = self.thinned(node, rep, left, right, alike)
+        more = rows["origin"][more]
+        a = np.concatenate([rep[left], more])
+        b = pa.array(np.concatenate([rep[right], more]), mask=np.arange(len(a)) >= len(left))
         return pa.RecordBatch.from_arrays([pa.array(a), b], names=["a", "b"])
 
-    @staticmethod
-    def thinned(node: np.ndarray, left: np.ndarray, right: np.ndarray):
-        """All pairs of nodes that have few; of the others a spanning forest, and the node,
-        whose other pairs are looked at again once components are known."""
-        order = np.argsort(left, kind="stable")
-        left, right = left[order], right[order]
+    def thinned(self, node, rep, left, right, alike):
+        """The pairs to confirm, and a row of each node that has others left."""
+        order = np.lexsort((rep[right], rep[left], -alike, node[left]))
+        left, right, alike = left[order], right[order], alike[order]
         cuts = np.flatnonzero(np.diff(node[left])) + 1
-        keep, again = [], []
+        keep, again = [np.empty(0, np.int64)], []
         for low, high in zip(np.r_[0, cuts], np.r_[cuts, len(left)]):
-            if high - low <= 4 * len(np.unique(np.r_[left[low:high], right[low:high]])):
-                keep.append(np.arange(low, high))
-                continue
-            again.append(left[low])
-            top: dict[int, int] = {}
-
-            def root(x):
-                while (up := top.get(x, x)) != x:
-                    top[x] = top.get(up, up)
-                    x = up
-                return x
-
-            forest = []
-            for i, (a, b) in enumerate(zip(left[low:high].tolist(), right[low:high].tolist())):
-                if (ra := root(a)) != (rb := root(b)):
-                    top[rb] = ra
-                    forest.append(low + i)
-            keep.append(np.array(forest))
+            ours = np.arange(low, high)
+            if high - low > 4 * len(np.unique(np.r_[left[ours], right[ours]])):
+                some = self.best(left[ours], right[ours]) if self.partners else self.forest(left[ours], right[ours])
+                if len(some) < len(ours):
+                    again.append(left[low])
+                ours = ours[some]
+            keep.append(ours)
         keep = np.concatenate(keep)
         return left[keep], right[keep], np.array(again, np.int64)
 
+    def best(self, left, right) -> np.ndarray:
+        """Of pairs in descending order, those among the first ``partners`` of either side."""
+        ends, pair = np.r_[left, right], np.r_[np.arange(len(left)), np.arange(len(left))]
+        order = np.lexsort((pair, ends))
+        ends, pair = ends[order], pair[order]
+        first = np.r_[0, np.flatnonzero(np.diff(ends)) + 1]
+        rank = np.arange(len(ends)) - np.repeat(first, np.diff(np.r_[first, len(ends)]))
+        return np.unique(pair[rank < self.partners])
+
+    @staticmethod
+    def forest(left, right) -> np.ndarray:
+        """Of pairs in descending order, those that join two trees."""
+        top: dict[int, int] = {}
+
+        def root(x):
+            while (up := top.get(x, x)) != x:
+                top[x] = top.get(up, up)
+                x = up
+            return x
+
+        joins = []
+        for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
+            if (ra := root(a)) != (rb := root(b)):
+                top[rb] = ra
+                joins.append(i)
+        return np.array(joins, np.int64)
 
-def _compared(rows: DataFrame, percent: int, thin: bool) -> DataFrame:
+
+def _compared(rows: DataFrame, percent: int, partners: int = 0) -> DataFrame:
     return (
-        rows.select("node", "rep", "n", "component", "sketch")
+        rows.select("node", "origin", "rep", "n", "component", "sketch")
         .repartition("node")
         .sortWithinPartitions("node", "n", "rep")
-        .mapInArrow(_Nodes(percent, thin), "a long, b long")
+        .mapInArrow(_Nodes(percent, partners), "a long, b long")
     )
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.filter(F.col("b").isNotNull()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _unfinished(pairs: DataFrame) -> DataFrame:
+    return pairs.filter(F.col("b").isNull()).select(F.col("a").alias("origin")).distinct()
+
+
 class ChosenPathJoin:
     """Links between the distinct sets of one collection, and the components they form."""
 
@@ -227,19 +254,27 @@ class ChosenPathJoin:
 
     def _links(self, texts: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
         members = scratch.write(self._members(reps, scratch))
-        alone = members.withColumn("component", F.col("rep"))
-        found = scratch.write(_compared(alone, self.percent, thin=True))
-        candidates = scratch.write(found.filter(F.col("b").isNotNull()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        links = scratch.write(self._confirmed(texts, candidates, scratch))
-        dense = found.filter(F.col("b").isNull()).select(F.col("a").alias("node")).distinct()
-        more = scratch.write(self._across(members, dense, components(links, scratch), scratch).join(candidates, ["a", "b"], "left_anti"))
-        return links.unionByName(self._confirmed(texts, more, scratch))
+        found = scratch.write(_compared(members.withColumn("component", F.col("rep")), self.percent))
+        tested = scratch.write(_ordered(found))
+        links = scratch.write(self._confirmed(texts, tested, scratch))
+        # Nodes dealt into parts, and those with too many pairs to confirm all: what is left
+        # of them is the pairs between different components, best first, until none is left.
+        unfinished = _unfinished(found).unionByName(members.filter("parts > 1").select("origin").distinct()).distinct()
+        unfinished, partners = scratch.write(unfinished), FIRST_PARTNERS
+        while not unfinished.isEmpty():
+            rows = self._across(members, unfinished, components(links, scratch), scratch)
+            found = scratch.write(_compared(rows, self.percent, partners))
+            fresh = scratch.write(_ordered(found).join(tested, ["a", "b"], "left_anti"))
+            links = links.unionByName(scratch.write(self._confirmed(texts, fresh, scratch)))
+            tested = tested.unionByName(fresh)
+            unfinished, partners = scratch.write(_unfinished(found)), partners * 8
+        return links
 
     def _members(self, reps: DataFrame, scratch: Scratch) -> DataFrame:
         """Each set once per tree, with the node where its path ends.
 
         A node is large while it holds more than ``small_node`` sets. A node still large at
-        the last level is dealt into parts; ``whole`` is then that node, ``parts`` their number.
+        the last level is dealt into ``parts``; ``origin`` is the node before that.
         """
         rows = reps.select("rep", "n", "low", "sketch", F.explode(F.sequence(F.lit(1), F.lit(self.trees))).alias("tree"))
         path = F.xxhash64(F.lit(SEED), F.col("tree"))
@@ -265,39 +300,36 @@ class ChosenPathJoin:
         part = F.pmod(F.xxhash64("rep", "tree"), "parts")
         return within.select(
             F.coalesce("node", F.xxhash64(last, part)).alias("node"),
+            F.coalesce("node", last).alias("origin"),
             "rep",
             "n",
             "sketch",
-            F.when(F.col("node").isNull(), last).alias("whole"),
-            "parts",
+            F.coalesce("parts", F.lit(1)).alias("parts"),
         )
 
-    def _across(self, members: DataFrame, dense: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFrame:
-        """Candidates between different components inside nodes that were not compared in
-        full: dense ones, and those dealt into parts.
+    def _across(self, members: DataFrame, unfinished: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFrame:
+        """The rows of unfinished nodes that hold more than one component.
 
         In a node dealt into parts, every set outside its most frequent component meets all
         parts; sets of that component need not meet each other any more.
         """
-        again = members.join(dense.withColumn("dense", F.lit(True)), "node", "left").filter("dense OR parts > 1")
-        again = (
-            again.withColumnRenamed("node", "part")
-            .withColumn("node", F.coalesce("whole", "part"))
+        again = scratch.write(
+            members.join(unfinished, "origin", "left_semi")
             .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
             .withColumn("component", F.coalesce("component", "rep"))
-            .select("node", "part", F.coalesce("parts", F.lit(1)).alias("parts"), "rep", "n", "sketch", "component")
         )
-        again = scratch.write(again)
-        counted = again.groupBy("node", "component").agg(F.count(F.lit(1)).alias("sets"))
-        most = counted.groupBy("node").agg(F.max_by("component", F.struct("sets", "component")).alias("most"), F.count(F.lit(1)).alias("kinds"))
-        mixed = again.join(most.filter("kinds > 1"), "node")
-        spread = F.when(
-            (F.col("parts") > 1) & (F.col("component") != F.col("most")),
-            F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda p: F.xxhash64(F.col("node"), p)),
-        ).otherwise(F.array("part"))
-        rows = mixed.withColumn("node", F.explode(spread))
-        pairs = _compared(rows, self.percent, thin=False)
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        most = scratch.small_side(
+            again.groupBy("origin", "component")
+            .agg(F.count(F.lit(1)).alias("sets"))
+            .groupBy("origin")
+            .agg(F.max(F.struct("sets", "component"))["component"].alias("most"), F.count(F.lit(1)).alias("kinds"))
+            .filter("kinds > 1")
+        )
+        every_part = F.transform(
+            F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda p: F.xxhash64(F.col("origin"), p)
+        )
+        nodes = F.when((F.col("parts") > 1) & (F.col("component") != F.col("most")), every_part).otherwise(F.array("node"))
+        return again.join(most, "origin").withColumn("node", F.explode(nodes))
 
     def _confirmed(self, texts: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
         """Pairs whose full sets are similar enough."""
