@@ -35,4 +35,46 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (k IN (SELECT k FROM shared)
 FROM keyed GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op2_near_dedup": OP2, "op9_line_dedup": OP9}
+# Bisects as the query does: eight rounds, each to a 32nd of the interval.
+OP3 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, source, coalesce(source, '') AS name,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS tokens FROM documents),
+sums AS (SELECT name, sum(tokens)::BIGINT AS there, count(*) AS docs FROM words GROUP BY 1),
+shares AS (SELECT *, there / (sum(there) OVER ())::DOUBLE AS share, count(*) OVER () AS n,
+    (sum(there) OVER ())::DOUBLE AS every FROM sums),
+unmixed AS (SELECT -sum(share * ln(share)) >= 0.99 * ln(any_value(n)) - 1e-12 AS good FROM shares),
+narrowed(round, low, high) AS (
+  SELECT 0, 0::DOUBLE, 1::DOUBLE
+  UNION ALL
+  SELECT round + 1, low + (high - low) * below / 32, low + (high - low) * (below + 1) / 32
+  FROM (SELECT round, low, high, (
+      SELECT count(*) FILTER (good) FROM (
+        SELECT i, -sum(power / z * ln(power / z)) >= 0.99 * ln(any_value(n)) - 1e-12 AS good FROM (
+          SELECT i, n, share ** (low + (high - low) * i / 32) AS power,
+            sum(share ** (low + (high - low) * i / 32)) OVER (PARTITION BY i) AS z
+          FROM shares, range(1, 32) t(i)) GROUP BY i)) AS below
+    FROM narrowed WHERE round < 8)),
+chosen AS (SELECT CASE WHEN (SELECT good FROM unmixed) THEN 1.0::DOUBLE ELSE (SELECT low FROM narrowed WHERE round = 8) END AS x),
+plan AS (
+  SELECT name, budget // there AS whole, budget % there AS rest, ceil(sqrt(docs))::BIGINT AS blocks FROM (
+    SELECT *, floor(power / sum(power) OVER () * every + 0.5)::BIGINT AS budget FROM (
+      SELECT *, share ** (SELECT x FROM chosen) AS power FROM shares))),
+dealt AS (
+  SELECT doc_id, source, name, tokens, whole, rest, block, p AS pass,
+    ('0x' || substr(md5('0|' || p || '|' || doc_id), 1, 15))::BIGINT AS turn
+  FROM (SELECT *, ('0x' || substr(md5('0|' || doc_id), 1, 15))::BIGINT % blocks AS block,
+      unnest(range(whole + CASE WHEN rest = 0 THEN 0 ELSE 1 END)) AS p
+    FROM words JOIN plan USING (name))),
+totals AS (SELECT name, pass, block, sum(tokens) AS held FROM dealt GROUP BY ALL),
+begins AS (SELECT name, pass, block, coalesce(sum(held) OVER (PARTITION BY name, pass
+    ORDER BY ('0x' || substr(md5('0|block|' || name || '|' || pass || '|' || block), 1, 15))::BIGINT, block
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin FROM totals),
+placed AS (SELECT *, begin + coalesce(sum(tokens) OVER (PARTITION BY name, pass, block ORDER BY turn, doc_id, tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM dealt JOIN begins USING (name, pass, block))
+SELECT doc_id, source, pass::INTEGER AS pass, block::BIGINT AS block, start::BIGINT AS start
+FROM placed WHERE pass < whole OR start < rest
+"""
+
+ORACLE_SQL = {"op3_source_mixing": OP3, "op2_near_dedup": OP2, "op9_line_dedup": OP9}

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.chosen_path import near_duplicates
 from tagloom.llm.lines import line_dedup_digest
+from tagloom.llm.mixing import Target, mixed_sources
+from tagloom.llm.packing import pack
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +18,16 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_sources(_table(spark, sf_dir, "documents"), Target(entropy=0.99))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_dedup, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_near_dedup, op3_source_mixing, op7_packing, op9_line_dedup)}
