@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.chosen_path import near_duplicates
+from tagloom.llm.gam import quality_scores
 from tagloom.llm.lines import line_dedup_digest
 from tagloom.llm.mixing import Target, mixed_sources
 from tagloom.llm.packing import pack
@@ -22,6 +23,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sources(_table(spark, sf_dir, "documents"), Target(entropy=0.99))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
@@ -30,4 +35,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_dedup, op3_source_mixing, op7_packing, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_near_dedup, op3_source_mixing, op4_quality, op7_packing, op9_line_dedup)}
