@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.chosen_path import near_duplicates
+from tagloom.llm.disclosure import personal_data
 from tagloom.llm.gam import quality_scores
 from tagloom.llm.lines import line_dedup_digest
 from tagloom.llm.mixing import Target, mixed_sources
@@ -15,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
@@ -35,4 +40,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_dedup, op3_source_mixing, op4_quality, op7_packing, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_near_dedup, op3_source_mixing, op4_quality, op7_packing, op9_line_dedup)}
