@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tagloom.llm.chosen_path import near_duplicates
 from tagloom.llm.disclosure import personal_data
 from tagloom.llm.gam import quality_scores
+from tagloom.llm.hnsw import nearest
 from tagloom.llm.lines import line_dedup_digest
 from tagloom.llm.mixing import Target, mixed_sources
 from tagloom.llm.packing import pack
+from tagloom.llm.wavelet import token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
@@ -40,4 +46,20 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_near_dedup, op3_source_mixing, op4_quality, op7_packing, op9_line_dedup)}
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii,
+        op2_near_dedup,
+        op3_source_mixing,
+        op4_quality,
+        op6_token_files,
+        op7_packing,
+        op9_line_dedup,
+        op10_nearest,
+    )
+}
