@@ -77,4 +77,45 @@ SELECT doc_id, source, pass::INTEGER AS pass, block::BIGINT AS block, start::BIG
 FROM placed WHERE pass < whole OR start < rest
 """
 
-ORACLE_SQL = {"op3_source_mixing": OP3, "op2_near_dedup": OP2, "op9_line_dedup": OP9}
+OP5 = r"""
+WITH calls AS (SELECT conv_id, turn, role, text FROM conversations WHERE role IS DISTINCT FROM 'assistant'),
+results AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content FROM conversations
+  WHERE role = 'assistant' GROUP BY 1, 2),
+chains AS (SELECT conv_id, turn, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island
+  FROM (SELECT DISTINCT conv_id, turn FROM calls)),
+levels AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS level FROM chains)
+SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS call_id, level::BIGINT AS level, content IS NOT NULL AS linked,
+  role IN ('system', 'user') AND length(text) > 0 AS valid,
+  '{"arguments":{' || coalesce('"text":' || to_json(text), '') || '},"id":"' || conv_id || ':' || turn || '"'
+    || coalesce(',"name":' || to_json(role), '') || coalesce(',"result":' || to_json(content), '') || '}' AS message
+FROM calls JOIN levels USING (conv_id, turn) LEFT JOIN results USING (conv_id, turn)
+"""
+
+OP8 = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+dl AS (SELECT doc_id, sum(tf) AS dl FROM tf GROUP BY 1),
+n AS (SELECT (SELECT count(*) FROM documents)::DOUBLE AS n, (SELECT sum(dl) FROM dl) AS total),
+query AS (
+  SELECT doc_id AS query_id, term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf
+  FROM tf JOIN df USING (term), n WHERE doc_id % 20 = 0 AND df >= 2
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY df, term) <= 16),
+scored AS (
+  SELECT query_id, doc_id, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / (total / n)))), 6) AS score
+  FROM query JOIN tf USING (term) JOIN dl USING (doc_id), n WHERE doc_id <> query_id GROUP BY ALL)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+OP10 = """
+WITH score AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score
+  FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM score QUALIFY rank <= 20
+"""
+
+ORACLE_SQL = {"op5_tool_calls": OP5, "op8_search": OP8, "op10_nearest": OP10, "op3_source_mixing": OP3, "op2_near_dedup": OP2, "op9_line_dedup": OP9}

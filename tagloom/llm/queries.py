@@ -11,6 +11,8 @@ from tagloom.llm.hnsw import nearest
 from tagloom.llm.lines import line_dedup_digest
 from tagloom.llm.mixing import Target, mixed_sources
 from tagloom.llm.packing import pack
+from tagloom.llm.search import search
+from tagloom.llm.tool_calls import linked_conversations
 from tagloom.llm.wavelet import token_files
 
 
@@ -34,6 +36,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +48,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(_table(spark, sf_dir, "documents"))
 
@@ -57,8 +67,10 @@ QUERIES = {
         op2_near_dedup,
         op3_source_mixing,
         op4_quality,
+        op5_tool_calls,
         op6_token_files,
         op7_packing,
+        op8_search,
         op9_line_dedup,
         op10_nearest,
     )
