@@ -24,7 +24,7 @@ from tagloom.llm.tokens import encoder, vocabulary_path, with_end
 CAPACITY = 4096
 GROUPS = 64
 SMALL_SHARES = (2, 3, 4)  # lengths up to capacity / 2, 3 or 4 are small; the best plan counts
-RANKED_TOGETHER = 200_000
+RANKED_TOGETHER = 10_000
 
 Run = tuple[int, list]  # so many sequences alike, and what each holds
 
