@@ -16,7 +16,7 @@ import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 
 # White space that Python and the tokenizer's rule may not agree on.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
@@ -30,15 +30,19 @@ _ODD_ASCII = re.compile("[\x1c-\x1f]").search
 
 
 class _Remembered(dict):
-    """A bounded dict that works out what it lacks; it starts anew when it is full."""
+    """A bounded dict that works out what it lacks. When it is full it becomes the older
+    half, from which what is asked for again comes back."""
 
     def __init__(self, compute):
         super().__init__()
-        self._compute = compute
+        self._compute, self._older = compute, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self._compute(key)
+        value = self._older.get(key)
+        if value is None:
+            value = self._compute(key)
         if len(self) >= REMEMBERED:
+            self._older = dict(self)
             self.clear()
         if len(key) <= 64:
             self[key] = value
