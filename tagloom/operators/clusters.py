@@ -15,7 +15,7 @@ from tagloom.sources.rules import TagValues, local_frame
 
 FEATURE = "feature"
 PREDICT = "predict"
-POINTS_PER_PARTITION = 500_000
+FIT_PARTITIONS = 8
 
 Centres = Sequence[Sequence[float]]
 
@@ -30,26 +30,27 @@ def assemble(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_clusters(
-    frame: DataFrame, columns: Sequence[str], k: int, seed: int
+    frame: DataFrame,
+    columns: Sequence[str],
+    k: int,
+    seed: int,
+    partitions: int = FIT_PARTITIONS,
 ) -> KMeansModel:
     """Fit k-means with MLlib defaults, apart from ``k`` and ``seed``.
 
     Equal points are merged into one weighted point first: the objective is the same, and
     score vectors shrink from one row per user to a few hundred rows. Points are then laid
-    out by value, so the fit does not depend on how the input was partitioned.
+    out by value over ``partitions`` tasks, whatever their number, so the fit does not depend on
+    how the input was partitioned; at scale name as many tasks as there are cores.
     """
     columns = list(columns)
     points = frame.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        distinct_points = points.count()
-        if distinct_points == 0:
+        if points.isEmpty():
             raise NothingToCluster(f"no rows to cluster on {columns}")
-        partitions = -(-distinct_points // POINTS_PER_PARTITION)
-        laid_out = (
-            points.coalesce(1) if partitions == 1 else points.repartition(partitions, *columns)
-        )
-        training = assemble(laid_out.sortWithinPartitions(*columns), columns)
+        laid_out = points.repartition(partitions, *columns).sortWithinPartitions(*columns)
+        training = assemble(laid_out, columns)
         training = training.select(FEATURE, "weight").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             return KMeans(

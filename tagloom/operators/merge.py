@@ -54,8 +54,19 @@ def unite_batches(*batches: DataFrame) -> DataFrame:
         .groupBy("userId")
         .agg(*[F.any_value(c, True).alias(c) for c in columns])
     )
-    united = reduce(merge_tag_lists, [F.col(c) for c in columns])
-    return side_by_side.select("userId", united.alias("tags"))
+    # One flatten and one sort, however many batches there are; each step is a column of
+    # its own, so that the sort reads columns and not the expressions behind them.
+    arrays = F.col("__arrays")
+    return (
+        side_by_side.select("userId", F.array_compact(F.array(*columns)).alias("__arrays"))
+        .select("userId", "__arrays", F.array_distinct(F.flatten(arrays)).alias("__every"))
+        .select(
+            "userId",
+            F.when(F.size(arrays) == 1, arrays[0])
+            .when(F.size(arrays) > 1, canonical(F.col("__every")))
+            .alias("tags"),
+        )
+    )
 
 
 def merge_with_store(new: DataFrame, old: DataFrame) -> DataFrame:

@@ -12,8 +12,18 @@ from tagloom.operators.modal import most_frequent
 DAY_LENGTH = 10
 
 
+# Sums of money are exact, so that neither the order of rows nor a partial sum shows in
+# them; they become double at the end.
+MONEY = "decimal(28,8)"
+SUMS = ("amount", "coupon_amount")
+
+
 def _money(name: str) -> Column:
-    return F.col(name).try_cast("double")
+    return F.col(name).try_cast(MONEY)
+
+
+def _final(name: str, total: Column) -> Column:
+    return (total.cast("double") if name in SUMS else total).alias(name)
 
 
 def _coupon_used() -> Column:
@@ -39,7 +49,7 @@ def _order_aggregates(orders: DataFrame) -> dict[str, Column]:
 def order_totals(orders: DataFrame, user_id: str = "memberid") -> DataFrame:
     """One row per member: last finish time, order count, amounts and coupon use, as far
     as the columns are there."""
-    totals = [column.alias(name) for name, column in _order_aggregates(orders).items()]
+    totals = [_final(name, column) for name, column in _order_aggregates(orders).items()]
     return orders.groupBy(F.col(user_id).cast("string").alias("userId")).agg(*totals)
 
 
@@ -54,7 +64,7 @@ def order_profile(orders: DataFrame, user_id: str = "memberid") -> DataFrame:
     )
     return by_code.groupBy("userId").agg(
         most_frequent(F.col("payment"), F.col("uses")).alias("payment"),
-        *[(F.max if name == "last_finish" else F.sum)(name).alias(name) for name in totals],
+        *[_final(name, (F.max if name == "last_finish" else F.sum)(name)) for name in totals],
     )
 
 

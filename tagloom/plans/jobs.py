@@ -273,6 +273,13 @@ def user_profile(users: DataFrame, attributes: Sequence[str], user_id: str = "id
     return users.select(F.col(user_id).cast("string").alias("userId"), *names)
 
 
+def shares_profile(job: TagJob) -> bool:
+    """Whether the job reads one of the standard profiles, which ``shared_profile`` unites.
+    A job with a profile of its own is computed by itself."""
+    standard = (AttributeJob, AgeJob, ConsumptionCycleJob, PaymentJob, RfmJob, RfeJob, PsmJob)
+    return getattr(type(job), "profile", None) in {kind.profile for kind in standard}
+
+
 def shared_profile(jobs: Sequence[ProfileJob], business: DataFrame) -> DataFrame:
     """One profile that serves all of ``jobs``, which have one source."""
     if len(jobs) == 1:

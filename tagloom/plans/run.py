@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from tagloom.functions.tags import canonical, without_nulls
 from tagloom.operators.match import no_tags
 from tagloom.operators.merge import as_tag_lists, one_row_per_user, unite_batches
-from tagloom.plans.jobs import LOGS, ORDERS, ProfileJob, TagJob, shared_profile
+from tagloom.plans.jobs import LOGS, ORDERS, ProfileJob, TagJob, shared_profile, shares_profile
 from tagloom.sources.rules import RuleBook
 from tagloom.sources.spec import SourceSpec, read_source
-from tagloom.stores.hadoop import delete_folder, scratch_folder, written
+from tagloom.stores.hadoop import scratch_folder, scratch_scope, written
 
 # Sources whose profile has one row per user by construction.
 AGGREGATED = (ORDERS, LOGS)
@@ -42,7 +42,8 @@ def run_job(
     spark: SparkSession, job: TagJob, rules: RuleBook, store, read: Reader = read_source
 ) -> None:
     """Compute one job's tags, merge them with the stored ones, and upsert."""
-    store.merge_upsert(compute_job(spark, job, rules, read))
+    with scratch_scope(spark):
+        store.merge_upsert(compute_job(spark, job, rules, read))
 
 
 def run_all(
@@ -57,11 +58,8 @@ def run_all(
     Jobs that read one data set share a single scan and, for orders and logs, a single
     per-user aggregate. The stored result equals that of ``run_job`` for each in turn.
     """
-    scratch = scratch_folder(spark)
-    try:
-        store.merge_upsert_lists(compute_all(spark, jobs, rules, read, scratch))
-    finally:
-        delete_folder(spark, scratch)
+    with scratch_scope(spark):
+        store.merge_upsert_lists(compute_all(spark, jobs, rules, read))
 
 
 def compute_all(
@@ -100,7 +98,7 @@ def _groups(jobs: Sequence[TagJob], rules: RuleBook) -> list:
     shared: dict = defaultdict(list)
     definitions = rules.rules_for([job.level4_id for job in jobs])
     for job in jobs:
-        if not isinstance(job, ProfileJob):
+        if not shares_profile(job):
             groups.append(job)
             continue
         spec = SourceSpec.from_map(definitions[job.level4_id])

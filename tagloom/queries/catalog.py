@@ -11,7 +11,7 @@ from tagloom.functions.bands import Band
 from tagloom.functions.rule_text import parse_rule, range_bounds
 from tagloom.functions.tags import merge_tags
 from tagloom.operators import clusters, match, merge, modal, profiles, scores
-from tagloom.plans.jobs import AgeJob, AttributeJob, match_jobs, mining_jobs, statistics_jobs
+from tagloom.plans.jobs import GENDER, AgeJob, AttributeJob, TagJob, match_jobs, mining_jobs, statistics_jobs
 from tagloom.plans.run import compute_job, run_all, run_job, tag_counts
 from tagloom.queries import standins
 from tagloom.queries.standins import EVENTS_AS_OF, ORDERS_AS_OF, RULES
@@ -381,6 +381,29 @@ def persona_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_tags_id()
 
 
+class DividesJob(TagJob):
+    """A job of a user's own: a tag for the users whose number a divisor divides."""
+
+    level4_id = GENDER
+
+    def __init__(self, divisor: int):
+        self.divisor = divisor
+
+    def compute(self, business: DataFrame, values: TagValues) -> DataFrame:
+        return business.filter(F.col("id") % self.divisor == 0).select(
+            F.col("id").alias("userId"), F.lit(str(200 + self.divisor)).alias("tagsId")
+        )
+
+
+def persona_own_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight jobs of a user's own in one run, into a stored persona."""
+    store = new_store(spark)
+    store.upsert(stored_tags(spark, sf_dir))
+    jobs = [DividesJob(divisor) for divisor in range(2, 10)]
+    run_all(spark, jobs, rule_book(spark), store, standin_reader(sf_dir))
+    return store.read_tags_id()
+
+
 def persona_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_store(spark)
     jobs = match_jobs() + statistics_jobs(ORDERS_AS_OF)
@@ -403,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "merge_new_with_store": merge_new_with_store,
     "persona_upsert": persona_upsert,
     "persona_merge_upsert": persona_merge_upsert,
+    "persona_own_jobs": persona_own_jobs,
     "consumption_cycle": consumption_cycle,
     "payway_modal": payway_modal,
     "payway_modal_window": payway_modal_window,

@@ -309,4 +309,14 @@ LEFT JOIN (SELECT id, row_number() OVER (ORDER BY id) AS place FROM rules WHERE
     }
 
 
-ORACLE_SQL: dict[str, str] = _sql()
+OWN_JOBS = """
+WITH fresh AS (
+  SELECT c_custkey, list(200 + i ORDER BY i) AS tags FROM customer, range(2, 10) t(i) WHERE c_custkey % i = 0 GROUP BY 1),
+stored AS (SELECT c_custkey, [c_nationkey, 100, 20] AS tags FROM customer WHERE c_acctbal >= 0)
+SELECT c_custkey::VARCHAR AS userId, CASE WHEN n.tags IS NULL THEN array_to_string(s.tags, ',')
+  WHEN s.tags IS NULL THEN array_to_string(n.tags, ',')
+  ELSE array_to_string(list_sort(list_distinct(n.tags || s.tags)), ',') END AS tagsId
+FROM fresh n FULL JOIN stored s USING (c_custkey)
+"""
+
+ORACLE_SQL: dict[str, str] = {**_sql(), "persona_own_jobs": OWN_JOBS}

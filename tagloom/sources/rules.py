@@ -49,7 +49,15 @@ def rows_if_small(frame: DataFrame) -> list | None:
     size = sizes.first()
     if size["rows"] > MAX_LOCAL_RULES or (size["bytes"] or 0) > MAX_LOCAL_RULE_BYTES:
         return None
-    return frame.collect()
+    # The bound holds for what is collected too, should the table have grown meanwhile.
+    rows = frame.limit(MAX_LOCAL_RULES + 1).collect()
+    return rows if len(rows) <= MAX_LOCAL_RULES else None
+
+
+def nulls_first(row: tuple) -> tuple:
+    """A sort key for (id, rule) rows with nulls in either."""
+    id_, rule = row[0], row[1]
+    return id_ is not None, id_ or 0, rule is not None, rule or ""
 
 
 @dataclass(frozen=True)
@@ -78,13 +86,13 @@ class TagValues:
 
     @classmethod
     def local(cls, spark: SparkSession, rows: Iterable[tuple[int, str | None]]) -> TagValues:
-        rows = tuple(sorted((row[0], row[1]) for row in rows))
+        rows = tuple(sorted(((row[0], row[1]) for row in rows), key=nulls_first))
         return cls(local_frame(spark, rows, ("id", pa.int32()), ("rule", pa.string())), rows)
 
     def ids_by_rule(self) -> DataFrame:
         """``(key, value)``: each rule text with the highest id that has it."""
         if self.small:
-            pairs = {rule: str(id_) for id_, rule in self.rows if rule is not None}
+            pairs = {rule: id_ if id_ is None else str(id_) for id_, rule in self.rows if rule is not None}
             columns = ("key", pa.string()), ("value", pa.string())
             return local_frame(self.frame.sparkSession, pairs.items(), *columns)
         return (

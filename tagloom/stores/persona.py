@@ -54,15 +54,21 @@ class SnapshotPersonaStore:
         names = self._fs.names(self._commit_folder)
         return [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0] != "."]
 
-    def _commit(self, version: int) -> dict:
-        return json.loads(self._fs.read_text(f"{self._commit_folder}/{version:09d}.json"))
+    def _commit(self, version: int) -> dict | None:
+        """What a commit file says; None for one that a lost writer left unreadable."""
+        try:
+            return json.loads(self._fs.read_text(f"{self._commit_folder}/{version:09d}.json"))
+        except ValueError:
+            return None
+
+    def _current(self) -> dict | None:
+        """The newest commit that can be read."""
+        return next((c for v in reversed(self.versions()) if (c := self._commit(v))), None)
 
     def read(self) -> DataFrame:
         """``(userId, tags)`` of the current snapshot; empty when nothing is stored yet."""
-        versions = self.versions()
-        if not versions:
-            return self.spark.createDataFrame([], SCHEMA)
-        return self._open(self._commit(versions[-1]))
+        commit = self._current()
+        return self._open(commit) if commit else self.spark.createDataFrame([], SCHEMA)
 
     def read_tags_id(self) -> DataFrame:
         """The same with tags as comma-separated text, ``(userId, tagsId)``."""
@@ -86,9 +92,12 @@ class SnapshotPersonaStore:
         versions = self.versions()
         base = versions[-1] if versions else 0
         batch = checked_batch(batch)
-        if versions:
-            commit = self._commit(base)
-            buckets = commit["buckets"]
+        commit = self._current()
+        buckets = commit["buckets"] if commit else self._new_buckets or self._shuffle_partitions()
+        if buckets != self._shuffle_partitions():
+            # Only the batch moves; Spark would else shuffle the stored side to its own count.
+            batch = batch.repartition(buckets, "userId")
+        if commit:
             fresh = batch.select("userId", F.col("tags").alias("__new"), F.lit(True).alias("__in"))
             stored = self._open(commit).withColumnRenamed("tags", "__old")
             batch = fresh.join(stored, "userId", "full").select(
@@ -97,16 +106,17 @@ class SnapshotPersonaStore:
                 .otherwise(F.col("__old"))
                 .alias("tags"),
             )
-        else:
-            buckets = self._new_buckets or self._shuffle_partitions()
         return self._write(batch, base + 1, buckets)
 
+    def rebucket(self, buckets: int) -> int:
+        """Write the current snapshot anew with another number of buckets; moves it all."""
+        versions = self.versions()
+        return self._write(self.read().repartition(buckets, "userId"), versions[-1] + 1 if versions else 1, buckets)
+
     def _shuffle_partitions(self) -> int:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _write(self, rows: DataFrame, version: int, buckets: int) -> int:
-        if buckets != self._shuffle_partitions():
-            rows = rows.repartition(buckets, "userId")
         folder = f"snapshots/{version:09d}-{uuid.uuid4().hex}"
         name = self._table_name()
         (
@@ -151,7 +161,8 @@ class SnapshotPersonaStore:
     def _prune(self) -> None:
         """Delete all but the last ``keep`` snapshots, data before commit file."""
         for version in self.versions()[: -self.keep]:
-            self._fs.delete(f"{self.root}/{self._commit(version)['folder']}")
+            if commit := self._commit(version):
+                self._fs.delete(f"{self.root}/{commit['folder']}")
             self._fs.delete(f"{self._commit_folder}/{version:09d}.json")
 
 

@@ -64,10 +64,9 @@ def test_fit_does_not_depend_on_partitioning(spark, points):
     assert [[list(c) for c in centres] for centres in fits[1:]] == [[list(c) for c in fits[0]]] * 2
 
 
-def test_fit_on_large_point_sets_is_laid_out_by_value(spark, points, monkeypatch):
-    monkeypatch.setattr("tagloom.operators.clusters.POINTS_PER_PARTITION", 50)
+def test_fit_over_several_tasks_is_laid_out_by_value(spark, points):
     fits = [
-        [list(c) for c in fit_clusters(frame, COLUMNS, k=5, seed=2).clusterCenters()]
+        [list(c) for c in fit_clusters(frame, COLUMNS, k=5, seed=2, partitions=3).clusterCenters()]
         for frame in (points, points.repartition(9))
     ]
     assert fits[0] == fits[1]

@@ -79,3 +79,26 @@ def test_unite_batches_keeps_equal_partitioning(spark):
         ]
         assert sorted(map(tuple, union.collect())) == sorted(expected)
     spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_plan_grows_in_step_with_the_batches(spark):
+    from tagloom.operators.merge import unite_batches
+
+    def size(n):
+        batch = spark.createDataFrame([("1", ["5"])], "userId string, tags array<string>")
+        return len(unite_batches(*[batch] * n)._jdf.queryExecution().analyzed().toString())
+
+    few, some, many = size(3), size(10), size(30)
+    assert many < 8 * some and some < 8 * few
+
+
+def test_many_batches_unite_in_canonical_order(spark):
+    from tagloom.operators.merge import unite_batches
+
+    batches = [
+        spark.createDataFrame([("1", [str(30 - i)]), (f"only {i}", ["9", "9"])], "userId string, tags array<string>")
+        for i in range(12)
+    ]
+    rows = {r["userId"]: r["tags"] for r in unite_batches(*batches).collect()}
+    assert rows["1"] == [str(i) for i in range(19, 31)]
+    assert rows["only 3"] == ["9", "9"]

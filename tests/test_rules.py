@@ -160,3 +160,12 @@ def test_connector_reads_are_set_up(spark):
     read_source(session, SourceSpec("es", "h:9200", "users", "_doc", "id"))
     assert session.read.seen["format"] == "es"
     assert session.read.seen["es.resource"] == "users/_doc"
+
+
+def test_nulls_and_repeats_in_small_rule_tables(spark):
+    rows = [(None, "a"), (3, None), (3, "a"), (3, "a"), (None, None), (2, "b"), (None, "c")]
+    values = TagValues.of(spark.createDataFrame(rows, "id int, rule string"))
+    assert values.small
+    large = TagValues(values.frame, None)
+    found = [sorted(map(tuple, v.ids_by_rule().collect())) for v in (values, large)]
+    assert found[0] == found[1] == [("a", "3"), ("b", "2"), ("c", None)]

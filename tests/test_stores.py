@@ -178,3 +178,34 @@ def test_index_store_merges_only_the_batch(spark, monkeypatch):
     lists = spark.createDataFrame([("1", ["6"]), ("2", None)], "userId string, tags array<string>")
     store.merge_upsert_lists(lists)
     assert sorted(map(tuple, written[0].collect())) == [("1", "5,6"), ("2", None)]
+
+
+def test_unreadable_newest_commit_is_passed_over(spark, tmp_path):
+    from tagloom.stores.persona import SnapshotPersonaStore
+
+    store = SnapshotPersonaStore(spark, str(tmp_path / "persona"), buckets=3)
+    one = spark.createDataFrame([("1", "5"), ("2", "7")], "userId string, tagsId string")
+    store.upsert(one)
+    (tmp_path / "persona" / "commits" / "000000002.json").write_text("")
+    assert {r["userId"]: r["tagsId"] for r in store.read_tags_id().collect()} == {"1": "5", "2": "7"}
+    assert store.merge_upsert(spark.createDataFrame([("1", "4")], "userId string, tagsId string")) == 3
+    assert {r["userId"]: r["tagsId"] for r in store.read_tags_id().collect()} == {"1": "4,5", "2": "7"}
+    store.rebucket(5)
+    assert store.read().count() == 2
+
+
+def test_scratch_of_a_run_is_freed(spark, tmp_path):
+    from tagloom.stores.hadoop import scratch_folder, scratch_scope
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    import os
+
+    folders = set(os.listdir(before)) if os.path.isdir(before) else set()
+    try:
+        with scratch_scope(spark):
+            inside = scratch_folder(spark)
+            assert os.path.isdir(inside)
+            raise RuntimeError
+    except RuntimeError:
+        pass
+    assert set(os.listdir(before)) == folders
