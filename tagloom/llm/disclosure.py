@@ -24,7 +24,7 @@ PATTERNS = {
 }
 MARK = {"email": "@", "phone": "+"}  # no match without it
 KINDS = tuple(PATTERNS)
-BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"\p{L}{4,}+"
 CONTEXT = 96  # code points on either side of an entity
 MIN_TEXTS = 3  # different texts in which a word and an entity must meet
