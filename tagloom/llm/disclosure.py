@@ -183,11 +183,12 @@ def _disclosing(texts: DataFrame, spans: DataFrame, near: DataFrame, scratch: Sc
     together = scratch.write(together)
     wanted = scratch.small_side(together.select("term").distinct())
     words = F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)
+    # Counted before the join, so that the join makes a row per word and not per document.
     terms = (
         texts.select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))).alias("term"))
-        .join(wanted, "term")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("of_term"))
+        .join(wanted, "term")
     )
     entities = (
         spans.select(*document, F.explode("spans").alias("span"))
