@@ -25,6 +25,9 @@ COORDINATES = 64
 # Agreeing coordinates of a pair worth an exact comparison: a pair at similarity 0.8 has
 # 51 of 64 on average and fewer than 34 with a probability under 1e-6.
 LEAST_AGREEING = 34
+# The same for the sets of dense nodes, which get sketches that tell pairs apart better.
+WIDE_COORDINATES = 512
+LEAST_WIDE = 364
 TREES = 20
 LEVELS = 5
 SMALL_NODE = 1024
@@ -34,6 +37,7 @@ SEED = 0x5EED_0000_0002
 _MIX = np.random.default_rng(SEED).integers(1, 2**63, size=(2, COORDINATES), dtype=np.uint64)
 _XOR, _ODD = _MIX[0][:, None], (_MIX[1] | np.uint64(1))[:, None]
 _STEP = 1 << 14
+_WIDE = np.random.default_rng(SEED + 1).integers(1, 2**63, size=(2, WIDE_COORDINATES), dtype=np.uint64)
 
 
 def _scramble(values: np.ndarray) -> np.ndarray:
@@ -54,13 +58,27 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
     return np.unique(joined)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    lowest = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), _STEP):
-        np.minimum(lowest, ((shingles[at : at + _STEP] ^ _XOR) * _ODD).min(axis=1), out=lowest)
+def minima(shingles: np.ndarray, xor: np.ndarray = _XOR, odd: np.ndarray = _ODD) -> np.ndarray:
+    lowest = np.full(len(xor), np.iinfo(np.uint64).max, np.uint64)
+    step = _STEP * COORDINATES // len(xor)
+    for at in range(0, len(shingles), step):
+        np.minimum(lowest, ((shingles[at : at + step] ^ xor) * odd).min(axis=1), out=lowest)
     return _scramble(lowest)
 
 
+def _wide(width: int):
+    xor, odd = _WIDE[0][:, None], (_WIDE[1] | np.uint64(1))[:, None]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            lows = [minima(shingle_set(t, width), xor, odd) & np.uint64(255) for t in texts]
+            sketches = pa.array([low.astype(np.uint8).tobytes() for low in lows], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), sketches], names=["rep", "sketch"])
+
+    return run
+
+
 def _sketches(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +139,7 @@ class _Nodes:
         for batch in batches:
             table = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "origin", "rep", "n", "component")}
             sketch = batch.column("sketch").to_pylist()
-            table["sketch"] = np.frombuffer(b"".join(sketch), np.uint8).reshape(-1, COORDINATES)
+            table["sketch"] = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(sketch), -1)
             if rest is not None:
                 table = {c: np.concatenate([rest[c], table[c]]) for c in table}
             if not len(table["node"]):
@@ -145,8 +163,13 @@ class _Nodes:
             at = at[(node[at] == node[to]) & (100 * n[at] >= self.percent * n[to])]
             apart = at[component[at] != component[at + shift]]
             for part in np.array_split(apart, len(apart) // 100_000 + 1):
-                agree = (sketch[part] == sketch[part + shift]).sum(axis=1)
+                narrow = sketch[:, :COORDINATES]
+                agree = (narrow[part] == narrow[part + shift]).sum(axis=1)
                 found = agree >= LEAST_AGREEING
+                if sketch.shape[1] == WIDE_COORDINATES:
+                    part = part[found]
+                    agree = (sketch[part] == sketch[part + shift]).sum(axis=1)
+                    found = agree >= LEAST_WIDE
                 left.append(part[found]), right.append(part[found] + shift), alike.append(agree[found])
         left, right, alike = map(np.concatenate, (left, right, alike))
         left, right, more = self.thinned(node, rep, left, right, alike)
@@ -261,6 +284,11 @@ class ChosenPathJoin:
         # of them is the pairs between different components, best first, until none is left.
         unfinished = _unfinished(found).unionByName(members.filter("parts > 1").select("origin").distinct()).distinct()
         unfinished, partners = scratch.write(unfinished), FIRST_PARTNERS
+        members = members.join(unfinished, "origin", "left_semi").drop("sketch")
+        ids = scratch.small_side(members.select(F.col("rep").alias("doc_id")).distinct())
+        wide = texts.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
+        wide = scratch.write(wide.mapInArrow(_wide(self.width), "rep long, sketch binary")).dropDuplicates(["rep"])
+        members = scratch.write(members.join(wide, "rep"))
         while not unfinished.isEmpty():
             rows = self._across(members, unfinished, components(links, scratch), scratch)
             found = scratch.write(_compared(rows, self.percent, partners))
