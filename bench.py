@@ -24,6 +24,7 @@ HEADLINE = (
     "tags_merge",
     "merge_new_with_store",
     "persona_merge_upsert",
+    "persona_own_jobs",
     "consumption_cycle",
     "payway_modal",
     "payway_tags",
