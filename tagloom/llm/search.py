@@ -71,7 +71,7 @@ class ShardIndex:
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > margin]
         found: list[tuple[int, float]] = []
-        least, done, step = 0.0, 0, 8
+        least, done, step = 0.0, 0, 64
         while done < len(order) and bounds[order[done]] + margin >= least:
             part = np.sort(order[done : done + step])
             done, step = done + len(part), step * 2
@@ -87,9 +87,12 @@ class ShardIndex:
         for low, high, weight in lists:
             own = self.docs[low:high]
             a, b = np.searchsorted(own, begins), np.searchsorted(own, ends)
-            for x, y in zip(a[b > a], b[b > a]):
-                docs.append(own[x:y])
-                scores.append(self.impact[low + x : low + y] * weight)
+            there = b - a
+            total = int(there.sum())
+            if total:  # the ranges a to b, laid end to end
+                at = np.arange(total) + np.repeat(a - (np.cumsum(there) - there), there)
+                docs.append(own[at])
+                scores.append(self.impact[low:high][at] * weight)
         if not docs:
             return []
         distinct, place = np.unique(np.concatenate(docs), return_inverse=True)
