@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.tables import Scratch, ascii_lower, or_empty
 
 K1, B = 1.2, 0.75
-SHARD = 8192
+SHARD = 4096
 BLOCK = 64
 QUERY_TERMS = 16
 QUERIES_PER_TASK = 4096
@@ -23,14 +25,15 @@ class ShardIndex:
     """Postings of one shard, sorted by term and document; a block is ``BLOCK`` postings of
     one term. ``impact`` is a posting's BM25 score without the term's idf."""
 
-    def __init__(self, terms, starts, docs, impact):
-        self.terms, self.starts, self.docs, self.impact = terms, starts, docs, impact
+    def __init__(self, terms, starts, docs, counts, lengths, average: float):
+        self.terms, self.starts, self.docs, self.counts, self.lengths = terms, starts, docs, counts, lengths
+        self.impact = counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[docs] / average))
 
     @classmethod
-    def build(cls, texts: list[bytes], average: float) -> "ShardIndex":
+    def build(cls, texts: Iterable[str], average: float) -> "ShardIndex":
         terms, docs, counts, lengths = [], [], [], []
         for i, text in enumerate(texts):
-            words = text.lower().split()
+            words = text.encode("utf-8", "replace").lower().split()
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
             own, times = np.unique(hashes, return_counts=True)
             terms.append(own), counts.append(times.astype(np.int32)), lengths.append(len(words))
@@ -38,10 +41,9 @@ class ShardIndex:
         terms, docs, counts = map(np.concatenate, (terms, docs, counts))
         order = np.argsort(terms, kind="stable")
         terms, docs, counts = terms[order], docs[order], counts[order]
-        length = np.array(lengths, np.float64)[docs]
-        impact = counts * (K1 + 1) / (counts + K1 * (1 - B + B * length / average))
         distinct, starts = np.unique(terms, return_index=True)
-        return cls(distinct, np.append(starts, len(terms)).astype(np.int64), docs, impact)
+        starts = np.append(starts, len(terms)).astype(np.int32)
+        return cls(distinct, starts, docs, counts, np.array(lengths, np.int32), average)
 
     def search(self, terms: np.ndarray, idf: np.ndarray, k: int, skip: int = -1) -> list[tuple[int, float]]:
         """The ``k`` best documents, with all that tie with the last one.
@@ -104,22 +106,23 @@ class ShardIndex:
 def _indexed(average: float):
     def run(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["doc_id", "text"])
-        index = ShardIndex.build([t.encode("utf-8", "replace") for t in shard["text"]], average)
+        index = ShardIndex.build(shard["text"], average)
         return pd.DataFrame(
             {
                 "shard": [int(shard["shard"].iloc[0])],
                 "doc_ids": [shard["doc_id"].astype("int64").tolist()],
                 "terms": [index.terms.tobytes()],
-                "starts": [index.starts.astype(np.int32).tobytes()],
+                "starts": [index.starts.tobytes()],
                 "docs": [index.docs.astype(np.uint16 if len(shard) <= 1 << 16 else np.int32).tobytes()],
-                "impact": [index.impact.tobytes()],
+                "counts": [index.counts.tobytes()],
+                "lengths": [index.lengths.tobytes()],
             }
         )
 
     return run
 
 
-def _searched(k: int):
+def _searched(k: int, average: float):
     def run(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(index) and len(queries):
@@ -130,7 +133,9 @@ def _searched(k: int):
                 np.frombuffer(row["terms"], np.uint64),
                 np.frombuffer(row["starts"], np.int32),
                 np.frombuffer(row["docs"], width).astype(np.int32),
-                np.frombuffer(row["impact"], np.float64),
+                np.frombuffer(row["counts"], np.int32),
+                np.frombuffer(row["lengths"], np.int32),
+                average,
             )
             for query_id, terms, idf in zip(queries["query_id"], queries["terms"], queries["idf"]):
                 hashes = np.fromiter((xxhash.xxh64_intdigest(t.encode()) for t in terms), np.uint64, len(terms))
@@ -193,7 +198,7 @@ def search(docs: DataFrame, every: int = 20, k: int = 10, terms: int = QUERY_TER
         .groupBy("shard")
         .applyInPandas(
             _indexed(average),
-            "shard long, doc_ids array<bigint>, terms binary, starts binary, docs binary, impact binary",
+            "shard long, doc_ids array<bigint>, terms binary, starts binary, docs binary, counts binary, lengths binary",
         )
     )
 
@@ -203,7 +208,7 @@ def search(docs: DataFrame, every: int = 20, k: int = 10, terms: int = QUERY_TER
     to = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts))).withColumn("shard", numbers(shards))
     copies = index.withColumn("part", numbers(parts))
     found = copies.groupBy("shard", "part").cogroup(to.groupBy("shard", "part")).applyInPandas(
-        _searched(k), "query_id long, doc_id long, score double"
+        _searched(k, average), "query_id long, doc_id long, score double"
     )
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
