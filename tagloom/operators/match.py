@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import os
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.functions.rule_text import range_bounds
 from tagloom.functions.tags import without_nulls
-from tagloom.operators.lookup import look_up, salted_join
+from tagloom.operators.lookup import look_up
 from tagloom.sources.rules import TagValues
+from tagloom.stores.hadoop import scratch_folder, written
 
 # Up to this many ranges are tested one by one in a projection.
 MAX_INLINE_RANGES = 64
-# Levels 0..62 of dyadic blocks cover every ordinal below.
-MAX_LEVEL = 62
-ORDINAL_LIMIT = 1 << 61
-# Leading bytes of a text key that make its ordinal.
-ORDINAL_BYTES = 7
 RANGE_KEY = "__range_key"
 
 
@@ -64,7 +61,8 @@ def label_range(
 
     Ranges include both ends. Keys and bounds compare as text, or as whole numbers with
     ``numeric``; a bound that is missing or unreadable matches nothing. Few ranges are
-    tested in place, without a join; many are matched by an equi-join on dyadic blocks.
+    tested in place, without a join; many are matched by an
+    equi-join on dyadic blocks of ranks, which writes scratch tables.
     """
     key = key.try_cast("bigint") if numeric else key.cast("string")
     lo, hi = range_bounds(F.col("rule"), numeric)
@@ -79,11 +77,7 @@ def label_range(
         tests = [F.when(key.between(F.lit(r["lo"]), F.lit(r["hi"])), F.lit(r["id"])) for r in rows]
         label = without_nulls(F.array(*tests)) if tests else no_tags()
         return keyed.withColumn(out, label).drop(RANGE_KEY)
-    hits = (
-        interval_hits(keyed.select(key.alias("key")), ranges, values.small)
-        .groupBy("key")
-        .agg(F.array_sort(F.collect_set("id")).alias("value"))
-    )
+    hits = ids_by_key(keyed.select(key.alias("key")), ranges)
     found = look_up(keyed, key, hits, out, small=False)
     return found.withColumn(out, F.coalesce(out, no_tags())).drop(RANGE_KEY)
 
@@ -96,43 +90,61 @@ def match_range(
     return explode_label(label_range(narrow, F.col("__attr"), values, "tags", numeric))
 
 
-def _ordinal(value: Column, numeric: bool, prefix: str) -> Column:
-    """Whole number that never falls as ``value`` rises, in the order Spark compares it.
+def _ranked(keys: DataFrame, ranges: DataFrame, folder: str) -> tuple[DataFrame, int]:
+    """``(value, part, bound, asked, ordinal)`` of all distinct keys and range bounds, and
+    the highest ordinal.
 
-    For text it is made of the first bytes after ``prefix``, which all values share.
+    Values are sorted over many tasks; ``part`` is the task. The n-th distinct bound has the
+    ordinal 2n, and what lies between it and the next one 2n + 1, so that a key is in a range
+    exactly if its ordinal is.
     """
-    if numeric:
-        return F.greatest(F.least(value, F.lit(ORDINAL_LIMIT - 1)), F.lit(-ORDINAL_LIMIT))
-    digits = 2 * ORDINAL_BYTES
-    rest = F.substring(value, len(prefix) + 1, ORDINAL_BYTES)
-    head = F.rpad(F.substring(F.hex(F.encode(rest, "UTF-8")), 1, digits), digits, "0")
-    return F.conv(head, 16, 10).cast("bigint")
+    bounds = ranges.select(F.explode(F.array("lo", "hi")).alias("value"), F.lit(True).alias("bound"))
+    values = (
+        keys.select(F.col("key").alias("value"), F.lit(False).alias("bound"))
+        .unionByName(bounds)
+        .filter(F.col("value").isNotNull())
+        .groupBy("value")
+        .agg(F.bool_or("bound").alias("bound"), F.bool_or(~F.col("bound")).alias("asked"))
+    )
+    dealt = written(values.repartitionByRange("value").withColumn("part", F.spark_partition_id()), folder)
+    # One row per task of the sort.
+    counts = sorted(dealt.groupBy("part").agg(F.count_if("bound")).collect())
+    totals = list(accumulate((n for _, n in counts), initial=0))
+    before = keys.sparkSession.createDataFrame(
+        [(part, total) for (part, _), total in zip(counts, totals)], "part int, before bigint"
+    )
+    sorted_part = W.partitionBy("part").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rank = F.sum(F.col("bound").cast("bigint")).over(sorted_part) + F.col("before")
+    ordinal = 2 * rank + F.when(F.col("bound"), 0).otherwise(1)
+    ranks = dealt.join(F.broadcast(before), "part").select(
+        "value", "part", "bound", "asked", ordinal.alias("ordinal")
+    )
+    return written(ranks, folder), 2 * totals[-1] + 1
 
 
-def interval_hits(keys: DataFrame, ranges: DataFrame, small: bool) -> DataFrame:
-    """Distinct ``(key, id)`` with ``lo <= key <= hi``, for ``keys(key)`` and
-    ``ranges(id, lo, hi)`` with ``lo <= hi``, without comparing every key with every range.
+def ids_by_key(keys: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``(key, value)``: the ids with ``lo <= key <= hi`` for each distinct key that has any,
+    for ``keys(key)`` and ``ranges(id, lo, hi)`` with ``lo <= hi``.
 
-    Each range is cut into aligned blocks of power-of-two size, at most two per size. A
-    key lies in one block of each size, so both sides meet on (size, block). Ordinals of
-    long texts may coincide; the last filter compares the real values.
+    Keys and ranges meet by rank among the distinct bounds, so that only real hits are
+    joined, whatever the bounds look like. Each range is cut into aligned blocks of
+    power-of-two size, at most two per size; a rank lies in one block of each size, so both
+    sides meet on (size, block). Ranks are probed once per task of the sort, which is also
+    what spreads a rank that many keys share.
     """
-    numeric = dict(ranges.dtypes)["lo"] == "bigint"
-    least, most = ranges.agg(F.min("lo"), F.max("hi")).first()
-    inside = keys.filter(F.col("key").between(F.lit(least), F.lit(most)))
-    # All keys between the outermost bounds start with what those two have in common.
-    prefix = "" if numeric else os.path.commonprefix([least or "", most or ""])
+    folder = scratch_folder(keys.sparkSession)
+    ranges = written(ranges, folder)
+    ranks, highest = _ranked(keys, ranges, folder)
+    ends = ranks.filter("bound")
     blocks = (
-        ranges.withColumn("a", _ordinal(F.col("lo"), numeric, prefix))
-        .withColumn("b", _ordinal(F.col("hi"), numeric, prefix) + 1)
-        .withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVEL))))
+        ranges.join(ends.select(F.col("value").alias("lo"), F.col("ordinal").alias("a")), "lo")
+        .join(ends.select(F.col("value").alias("hi"), (F.col("ordinal") + 1).alias("b")), "hi")
+        .withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(highest.bit_length()))))
         .withColumn("first", F.expr("shiftright(a - 1, level) + 1"))
         .withColumn("last", F.expr("shiftright(b, level)"))
         .filter("first < last")
         .select(
             "id",
-            "lo",
-            "hi",
             "level",
             F.explode(
                 F.array_compact(
@@ -144,16 +156,16 @@ def interval_hits(keys: DataFrame, ranges: DataFrame, small: bool) -> DataFrame:
             ).alias("block"),
         )
     )
-    used = [row["level"] for row in blocks.select("level").distinct().collect()]
-    levels = F.array(*[F.lit(level) for level in sorted(used)] or [F.lit(0)])
+    asked = ranks.filter("asked")
     probes = (
-        inside.distinct()
-        .withColumn("level", F.explode(levels))
-        .withColumn("ordinal", _ordinal(F.col("key"), numeric, prefix))
-        .select("key", "level", F.expr("shiftright(ordinal, level)").alias("block"))
+        asked.select("part", "ordinal")
+        .distinct()
+        .withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(highest.bit_length()))))
+        .withColumn("block", F.expr("shiftright(ordinal, level)"))
+    )
+    hits = (
+        probes.join(blocks, ["level", "block"])
+        .groupBy("part", "ordinal")
+        .agg(F.array_sort(F.collect_set("id")).alias("value"))
     )
-    if small:
-        pairs = probes.join(F.broadcast(blocks), ["level", "block"])
-    else:
-        pairs = salted_join(probes, blocks, ["level", "block"], "inner")
-    return pairs.filter("key BETWEEN lo AND hi").select("key", "id").distinct()
+    return asked.select(F.col("value").alias("key"), "part", "ordinal").join(hits, ["part", "ordinal"]).select("key", "value")

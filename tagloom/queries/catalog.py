@@ -182,6 +182,20 @@ def match_range_many_text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.match_range(customer, F.col("c_name"), TagValues(rules, None), "c_custkey")
 
 
+def match_range_outlying_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranges of ``match_range_many_text_rules``, with one around all the others."""
+    number = F.col("s_suppkey").cast("bigint") * 12
+    name = "Customer#%09d"
+    rules = standins.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("id"),
+        F.when(F.col("s_suppkey") == 1, F.lit("A-Z"))
+        .otherwise(F.concat(F.format_string(name, number), F.lit("-"), F.format_string(name, number + 14)))
+        .alias("rule"),
+    )
+    customer = standins.table(spark, sf_dir, "customer")
+    return match.match_range(customer, F.col("c_name"), TagValues(rules, None), "c_custkey")
+
+
 # Tag lists.
 
 
@@ -422,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "match_range_string": match_range_string,
     "match_range_many_rules": match_range_many_rules,
     "match_range_many_text_rules": match_range_many_text_rules,
+    "match_range_outlying_rule": match_range_outlying_rule,
     "tags_merge": tags_merge,
     "merge_new_with_store": merge_new_with_store,
     "persona_upsert": persona_upsert,

@@ -249,6 +249,12 @@ SELECT CAST(c.c_custkey AS VARCHAR) AS userId, CAST(s.s_suppkey AS VARCHAR) AS t
 FROM customer c JOIN supplier s
   ON c.c_name BETWEEN concat('Customer#', lpad(CAST(s.s_suppkey * 12 AS VARCHAR), 9, '0'))
                   AND concat('Customer#', lpad(CAST(s.s_suppkey * 12 + 14 AS VARCHAR), 9, '0'))""",
+        "match_range_outlying_rule": """
+SELECT CAST(c.c_custkey AS VARCHAR) AS userId, CAST(s.s_suppkey AS VARCHAR) AS tagsId
+FROM customer c JOIN supplier s
+  ON CASE WHEN s.s_suppkey = 1 THEN c.c_name BETWEEN 'A' AND 'Z'
+     ELSE c.c_name BETWEEN concat('Customer#', lpad(CAST(s.s_suppkey * 12 AS VARCHAR), 9, '0'))
+                       AND concat('Customer#', lpad(CAST(s.s_suppkey * 12 + 14 AS VARCHAR), 9, '0')) END""",
         "tags_merge": people
         + f"""SELECT userId, {_merged('new_tags', 'old_tags')} AS tagsId FROM (
 SELECT n.userId, n.tagsId AS new_tags,

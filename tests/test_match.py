@@ -95,6 +95,22 @@ def test_many_ranges_against_brute_force(spark, monkeypatch, small, numeric):
     assert pairs(found) == sorted(expected, key=repr)
 
 
+def test_an_outlying_range_joins_no_more_than_hits(spark):
+    names = spark.range(2000).select(F.format_string("Customer#%09d", "id").alias("key"))
+    narrow = spark.range(2000).select(
+        F.col("id").cast("string").alias("id"),
+        F.format_string("Customer#%09d", "id").alias("lo"),
+        F.format_string("Customer#%09d", F.col("id") + 1).alias("hi"),
+    )
+    ranges = narrow.union(spark.createDataFrame([("all", "A", "Z")], narrow.schema))
+    found = match_module.ids_by_key(names, ranges)
+    assert found.agg(F.sum(F.size("value"))).first()[0] == 2000 + 2000 + 1999
+    # The probes: each rank once in each of the levels, whatever the ranges are.
+    ranks, highest = match_module._ranked(names, ranges, match_module.scratch_folder(spark))
+    assert ranks.filter("asked").select("ordinal").distinct().count() == 2000
+    assert highest == 2 * 2003 + 1
+
+
 def test_salted_join_spreads_hot_and_null_keys(spark):
     third = F.col("id") % 3
     key = F.when(third == 1, "hot").when(third == 2, F.col("id").cast("string"))
