@@ -8,14 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.bands import Band
+from tagloom.functions.recency import as_of_today
 from tagloom.functions.rule_text import parse_rule, range_bounds
 from tagloom.functions.tags import merge_tags
 from tagloom.operators import clusters, match, merge, modal, profiles, scores
-from tagloom.plans.jobs import GENDER, AgeJob, AttributeJob, TagJob, match_jobs, mining_jobs, statistics_jobs
+from tagloom.plans.jobs import (
+    GENDER,
+    AgeJob,
+    AttributeJob,
+    PsmJob,
+    RfeJob,
+    RfmJob,
+    TagJob,
+    match_jobs,
+    mining_jobs,
+    statistics_jobs,
+)
 from tagloom.plans.run import compute_job, run_all, run_job, tag_counts
 from tagloom.queries import standins
 from tagloom.queries.standins import EVENTS_AS_OF, ORDERS_AS_OF, RULES
-from tagloom.sources.rules import RuleBook, TagValues, local_frame
+from tagloom.sources.rules import RuleBook, TagValues, local_frame, read_rules
 from tagloom.sources.spec import SourceSpec, read_source
 from tagloom.stores.hadoop import scratch_folder
 from tagloom.stores.models import ModelStore
@@ -125,6 +137,13 @@ def rule_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RuleBook(part_rules(spark, sf_dir)).values_for(7).frame.select("id", "rule")
 
 
+def rules_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values of one tag from a rule table that lies in a file of another format."""
+    path = f"{scratch_folder(spark)}/rules"
+    part_rules(spark, sf_dir).write.json(path)
+    return RuleBook(read_rules(spark, "json", path)).values_for(7).frame.select("id", "rule")
+
+
 # Matching.
 
 
@@ -298,6 +317,12 @@ def rfm_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.withColumn("monetary", F.round("monetary", 2))
 
 
+def rfm_features_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seen from a week ago, as a job without a date of its own would."""
+    features = scores.rfm_features(standins.orders(spark, sf_dir, coupons=False), as_of_today(7))
+    return features.withColumn("monetary", F.round("monetary", 2))
+
+
 def rfm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.rfm_scores(rfm_features(spark, sf_dir))
 
@@ -357,6 +382,38 @@ def _mined(position: int) -> Query:
     return query
 
 
+class _Planted:
+    """A mining job whose scores are moved apart by user number, so that the groups that
+    k-means should find, and their order, are known. Each keeps its natural spread."""
+
+    def score(self, profile: DataFrame) -> DataFrame:
+        moved = self.columns[-1]
+        group = F.pmod(F.col("userId").cast("bigint"), F.lit(self.k))
+        return super().score(profile).withColumn(moved, F.col(moved) + 1000 * group)
+
+
+class PlantedRfm(_Planted, RfmJob):
+    pass
+
+
+class PlantedRfe(_Planted, RfeJob):
+    pass
+
+
+class PlantedPsm(_Planted, PsmJob):
+    pass
+
+
+def _planted(kind: type, business: Query, *as_of: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        job = kind(ModelStore(spark, f"{scratch_folder(spark)}/models"), *as_of)
+        rows = business(spark, sf_dir)
+        job.model(job.profile(rows))  # fitted and saved, and loaded by what follows
+        return job.compute(rows, values(spark, job.level4_id))
+
+    return query
+
+
 # Jobs and runs.
 
 
@@ -430,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "rule_parse": rule_parse,
     "rule_ranges": rule_ranges,
     "rule_values": rule_values,
+    "rules_from_file": rules_from_file,
     "match_equal_segment": match_equal_segment,
     "match_inner": match_inner,
     "match_equal_many_rules": match_equal_many_rules,
@@ -448,6 +506,7 @@ QUERIES: dict[str, Query] = {
     "payway_tags": payway_tags,
     "order_profile": order_profile,
     "rfm_features": rfm_features,
+    "rfm_features_today": rfm_features_today,
     "rfm_scores": rfm_scores,
     "rfm_scores_quintile": rfm_scores_quintile,
     "rfe_features": rfe_features,
@@ -459,6 +518,9 @@ QUERIES: dict[str, Query] = {
     "rfm_cluster_tags": _mined(0),
     "rfe_cluster_tags": _mined(1),
     "psm_cluster_tags": _mined(2),
+    "rfm_planted_groups": _planted(PlantedRfm, standins.orders, ORDERS_AS_OF),
+    "rfe_planted_groups": _planted(PlantedRfe, standins.logs, EVENTS_AS_OF),
+    "psm_planted_groups": _planted(PlantedPsm, psm_orders_with_gaps),
     "gender_tags": _job(4),
     "profession_tags": _job(7),
     "age_tags": _job(14),

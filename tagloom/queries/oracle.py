@@ -154,6 +154,21 @@ JOIN (SELECT total, row_number() OVER (ORDER BY total DESC) AS place
 LEFT JOIN (SELECT id, row_number() OVER (ORDER BY id) AS place FROM rules WHERE pid = 45) t
   ON t.place = v.place"""
 
+
+
+PART_RULES = """
+SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS rule FROM part
+WHERE CAST(substr(p_brand, 7) AS INTEGER) = 7"""
+
+
+def _planted(last_tag: int, groups: int, scored: str) -> str:
+    """The group with the highest number has the highest centre, and so the first tag."""
+    return (
+        f"SELECT userId, CAST({last_tag} - CAST(userId AS BIGINT) % {groups} AS VARCHAR) AS tagsId "
+        f"FROM {scored}"
+    )
+
+
 STORED = """
 stored AS (
   SELECT CAST(c_custkey AS VARCHAR) AS userId, concat(c_nationkey, ',100,20') AS tagsId
@@ -231,9 +246,8 @@ SELECT p_partkey, CAST(p_size AS VARCHAR) AS range_start,
        CAST(p_size AS BIGINT) AS range_low,
        CASE WHEN p_size <= 40 THEN CAST(floor(p_retailprice) AS BIGINT) END AS range_high
 FROM part""",
-        "rule_values": """
-SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS rule FROM part
-WHERE CAST(substr(p_brand, 7) AS INTEGER) = 7""",
+        "rule_values": PART_RULES,
+        "rules_from_file": PART_RULES,
         "match_equal_segment": people + _equal(7, "job"),
         "match_inner": people + _equal(61, "politicalface", inner=True),
         "match_equal_many_rules": """
@@ -281,6 +295,8 @@ SELECT o.memberid AS userId, min(m.paymentcode) AS payment, max(o.finishtime) AS
        round(sum(o.couponcodevalue), 4) AS coupon_amount
 FROM order_rows o JOIN modal m ON m.memberid = o.memberid GROUP BY o.memberid""",
         "rfm_features": f"WITH {RFM_FEATURES} SELECT * FROM rfm",
+        "rfm_features_today": f"WITH {RFM_FEATURES.replace(f"DATE '{ORDERS_AS_OF}'", "current_date - 7")} "
+        "SELECT * FROM rfm",
         "rfm_scores": f"WITH {RFM_FEATURES} {RFM_SCORED}",
         "rfm_scores_quintile": f"WITH {RFM_FEATURES} {RFM_QUINTILE}",
         "rfe_features": f"WITH {RFE_FEATURES} SELECT * FROM rfe",
@@ -300,6 +316,9 @@ JOIN (SELECT cluster, row_number() OVER (ORDER BY r + f + m DESC, cluster) AS pl
 LEFT JOIN (SELECT id, row_number() OVER (ORDER BY id) AS place FROM rules WHERE pid = 45) t
   ON t.place = c.place""",
         "rfe_cluster_tags": f"WITH {rules}, {RFE_FEATURES} {RFE_CLUSTERED}",
+        "rfm_planted_groups": f"WITH {RFM_FEATURES} {_planted(44, 7, 'rfm')}",
+        "rfe_planted_groups": f"WITH {RFE_FEATURES} {_planted(49, 4, 'rfe')}",
+        "psm_planted_groups": f"WITH {ORDER_ROWS} {_planted(55, 5, f'({PSM_SCORE})')}",
         "gender_tags": people + _equal(4, "gender"),
         "profession_tags": people + _equal(7, "job"),
         "age_tags": people + AGE,
