@@ -19,15 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.components import components
-from tagloom.llm.tables import Scratch, digest, or_empty
+from tagloom.llm.tables import Scratch, brief_scratch, digest, or_empty
 
 COORDINATES = 64
-# Agreeing coordinates of a pair worth an exact comparison: a pair at similarity 0.8 has
-# 51 of 64 on average and fewer than 34 with a probability under 1e-6.
-LEAST_AGREEING = 34
-# The same for the sets of dense nodes, which get sketches that tell pairs apart better.
+# Agreeing coordinates of a pair worth an exact comparison, when a sketch has four bits of
+# each: a pair at similarity 0.8 has 52 of 64 on average and fewer than 35 with a
+# probability under 1e-6.
+LEAST_AGREEING = 35
+# The sets of dense nodes get sketches that tell pairs apart better, with eight bits of each
+# coordinate: the least of the first 64, and of all.
 WIDE_COORDINATES = 512
-LEAST_WIDE = 364
+LEAST_WIDE_START, LEAST_WIDE = 34, 364
 TREES = 20
 LEVELS = 5
 SMALL_NODE = 1024
@@ -37,6 +39,7 @@ SEED = 0x5EED_0000_0002
 _MIX = np.random.default_rng(SEED).integers(1, 2**63, size=(2, COORDINATES), dtype=np.uint64)
 _XOR, _ODD = _MIX[0][:, None], (_MIX[1] | np.uint64(1))[:, None]
 _STEP = 1 << 14
+PACKED_BYTES = COORDINATES // 2
 _WIDE = np.random.default_rng(SEED + 1).integers(1, 2**63, size=(2, WIDE_COORDINATES), dtype=np.uint64)
 
 
@@ -66,6 +69,17 @@ def minima(shingles: np.ndarray, xor: np.ndarray = _XOR, odd: np.ndarray = _ODD)
     return _scramble(lowest)
 
 
+def packed(low: np.ndarray) -> bytes:
+    """Four bits of each coordinate, two coordinates in a byte."""
+    bits = (low & np.uint64(15)).astype(np.uint8)
+    return (bits[::2] | bits[1::2] << 4).tobytes()
+
+
+def unpacked(sketches: np.ndarray) -> np.ndarray:
+    """A byte for each coordinate, for rows of packed sketches."""
+    return np.stack([sketches & 15, sketches >> 4], axis=2).reshape(len(sketches), COORDINATES)
+
+
 def _wide(width: int):
     xor, odd = _WIDE[0][:, None], (_WIDE[1] | np.uint64(1))[:, None]
 
@@ -92,7 +106,7 @@ def _sketches(width: int):
                 low = minima(shingles)
                 keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
                 values.append((low >> np.uint64(48)).astype("<u2").tobytes())
-                sketches.append((low & np.uint64(255)).astype(np.uint8).tobytes())
+                sketches.append(packed(low))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -128,18 +142,22 @@ class _Nodes:
 
     Out come the pairs whose sketches are alike. Of a node with very many of them only the
     most promising come, and a row (node, null) that says so: with ``partners`` 0 a maximal
-    spanning forest, else the best ``partners`` of each set.
+    spanning forest, else the best ``partners`` of each set. With ``partners`` 0 sketches are
+    packed ones, else wide ones.
     """
 
     def __init__(self, percent: int, partners: int):
         self.percent, self.partners = percent, partners
+        self.bytes = WIDE_COORDINATES if partners else PACKED_BYTES
+        self.least = LEAST_WIDE_START if partners else LEAST_AGREEING
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
             table = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "origin", "rep", "n", "component")}
             sketch = batch.column("sketch").to_pylist()
-            table["sketch"] = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(sketch), -1)
+            sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(sketch), self.bytes)
+            table["sketch"] = unpacked(sketch) if self.bytes == PACKED_BYTES else sketch
             if rest is not None:
                 table = {c: np.concatenate([rest[c], table[c]]) for c in table}
             if not len(table["node"]):
@@ -165,8 +183,8 @@ class _Nodes:
             for part in np.array_split(apart, len(apart) // 100_000 + 1):
                 narrow = sketch[:, :COORDINATES]
                 agree = (narrow[part] == narrow[part + shift]).sum(axis=1)
-                found = agree >= LEAST_AGREEING
-                if sketch.shape[1] == WIDE_COORDINATES:
+                found = agree >= self.least
+                if self.partners:
                     part = part[found]
                     agree = (sketch[part] == sketch[part + shift]).sum(axis=1)
                     found = agree >= LEAST_WIDE
@@ -276,26 +294,28 @@ class ChosenPathJoin:
         )
 
     def _links(self, texts: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
-        members = scratch.write(self._members(reps, scratch))
-        found = scratch.write(_compared(members.withColumn("component", F.col("rep")), self.percent))
-        tested = scratch.write(_ordered(found))
-        links = scratch.write(self._confirmed(texts, tested, scratch))
-        # Nodes dealt into parts, and those with too many pairs to confirm all: what is left
-        # of them is the pairs between different components, best first, until none is left.
-        unfinished = _unfinished(found).unionByName(members.filter("parts > 1").select("origin").distinct()).distinct()
-        unfinished, partners = scratch.write(unfinished), FIRST_PARTNERS
-        members = members.join(unfinished, "origin", "left_semi").drop("sketch")
-        ids = scratch.small_side(members.select(F.col("rep").alias("doc_id")).distinct())
-        wide = texts.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
-        wide = scratch.write(wide.mapInArrow(_wide(self.width), "rep long, sketch binary")).dropDuplicates(["rep"])
-        members = scratch.write(members.join(wide, "rep"))
+        with brief_scratch(texts) as brief:
+            members = brief.write(self._members(reps, brief))
+            found = brief.write(_compared(members.withColumn("component", F.col("rep")), self.percent))
+            tested = scratch.write(_ordered(found))
+            links = self._confirmed(texts, tested, scratch)
+            # Nodes dealt into parts, and those with too many pairs to confirm all: what is left
+            # of them is the pairs between different components, best first, until none is left.
+            unfinished = _unfinished(found).unionByName(members.filter("parts > 1").select("origin").distinct()).distinct()
+            unfinished, partners = scratch.write(unfinished), FIRST_PARTNERS
+            members = members.join(unfinished, "origin", "left_semi").drop("sketch")
+            ids = brief.small_side(members.select(F.col("rep").alias("doc_id")).distinct())
+            wide = texts.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
+            wide = brief.write(wide.mapInArrow(_wide(self.width), "rep long, sketch binary")).dropDuplicates(["rep"])
+            members = scratch.write(members.join(wide, "rep"))
         while not unfinished.isEmpty():
-            rows = self._across(members, unfinished, components(links, scratch), scratch)
-            found = scratch.write(_compared(rows, self.percent, partners))
-            fresh = scratch.write(_ordered(found).join(tested, ["a", "b"], "left_anti"))
-            links = links.unionByName(scratch.write(self._confirmed(texts, fresh, scratch)))
-            tested = tested.unionByName(fresh)
-            unfinished, partners = scratch.write(_unfinished(found)), partners * 8
+            with brief_scratch(texts) as brief:
+                rows = self._across(members, unfinished, components(links, brief), brief)
+                found = brief.write(_compared(rows, self.percent, partners))
+                fresh = scratch.write(_ordered(found).join(tested, ["a", "b"], "left_anti"))
+                links = links.unionByName(self._confirmed(texts, fresh, scratch))
+                tested = tested.unionByName(fresh)
+                unfinished, partners = scratch.write(_unfinished(found)), partners * 8
         return links
 
     def _members(self, reps: DataFrame, scratch: Scratch) -> DataFrame:
@@ -360,20 +380,22 @@ class ChosenPathJoin:
         return again.join(most, "origin").withColumn("node", F.explode(nodes))
 
     def _confirmed(self, texts: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
-        """Pairs whose full sets are similar enough."""
-        ids = scratch.small_side(
-            pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        )
-        sets = scratch.write(
-            texts.join(ids, "doc_id", "left_semi")
-            .select(F.col("doc_id").alias("rep"), "text")
-            .mapInArrow(_shingled(self.width), "rep long, shingles array<long>")
-        )
-        one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("of_a"))
-        two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("of_b"))
-        common = F.size(F.array_intersect("of_a", "of_b"))
-        either = F.size("of_a") + F.size("of_b") - common
-        return pairs.join(one, "a").join(two, "b").filter(100 * common >= self.percent * either).select("a", "b").distinct()
+        """Pairs whose full sets are similar enough, written; the sets go at once."""
+        with brief_scratch(texts) as brief:
+            ids = brief.small_side(
+                pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+            )
+            sets = brief.write(
+                texts.join(ids, "doc_id", "left_semi")
+                .select(F.col("doc_id").alias("rep"), "text")
+                .mapInArrow(_shingled(self.width), "rep long, shingles array<long>")
+            )
+            one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("of_a"))
+            two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("of_b"))
+            common = F.size(F.array_intersect("of_a", "of_b"))
+            either = F.size("of_a") + F.size("of_b") - common
+            linked = pairs.join(one, "a").join(two, "b").filter(100 * common >= self.percent * either)
+            return scratch.write(linked.select("a", "b").distinct())
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.stores.hadoop import scratch_folder, written
+from tagloom.stores.hadoop import delete_folder, scratch_folder, written
 
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 BROADCAST_ROWS = 1_000_000
@@ -35,6 +37,17 @@ class Scratch:
         return F.broadcast(table) if table.count() <= max_rows else table
 
 
+@contextmanager
+def brief_scratch(frame: DataFrame) -> Iterator[Scratch]:
+    """Scratch whose folder goes at the end, on error as well, for tables that only other
+    written tables are made of."""
+    scratch = Scratch(frame)
+    try:
+        yield scratch
+    finally:
+        delete_folder(frame.sparkSession, scratch.folder)
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 

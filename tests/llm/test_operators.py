@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.llm import packing
-from tagloom.llm.chosen_path import ChosenPathJoin, near_duplicates, one_of_each
+from tagloom.llm.chosen_path import ChosenPathJoin, near_duplicates, one_of_each, packed, unpacked
 from tagloom.llm.components import components
 from tagloom.llm.disclosure import personal_data, sanitised
 from tagloom.llm.gam import fit, good_documents, quality_scores
@@ -118,6 +118,13 @@ def test_near_duplicates_against_all_pairs(spark, small_node):
     assert found == brute_components(rows, 2)
 
 
+def test_packed_sketches_round_trip():
+    low = np.random.default_rng(1).integers(0, 2**63, (3, 64), dtype=np.uint64)
+    rows = np.frombuffer(b"".join(map(packed, low)), np.uint8).reshape(3, -1)
+    assert rows.shape == (3, 32) and (unpacked(rows) == low % 16).all()
+    assert unpacked(rows[:0]).shape == (0, 64)
+
+
 def test_one_of_each_keeps_clean_documents(spark):
     kept = sorted(r["doc_id"] or -1 for r in one_of_each(docs(spark, ODD)).collect())
     assert kept == [-1, 1, 2, 3, 4, 5, 6]
