@@ -16,135 +16,140 @@ from tagloom.llm.tables import Scratch, ascii_lower, or_empty
 K1, B = 1.2, 0.75
 SHARD = 4096
 BLOCK = 64
-QUERY_TERMS = 16
+HEAVY, LONG = 1024, 16  # so many terms at most, in over a LONGth of a shard's documents, are kept as rows of a matrix
 QUERIES_PER_TASK = 4096
+QUERIES_AT_ONCE = 512
+GROUPS, SHARDS_PER_TASK = 6, 8
 DIGITS = 6  # scores that agree to so many decimals are ties
+HASH_SEED = 42  # of Spark's xxhash64
 
 
 class ShardIndex:
-    """Postings of one shard, sorted by term and document; a block is ``BLOCK`` postings of
-    one term. ``impact`` is a posting's BM25 score without the term's idf."""
+    """Postings of one shard, sorted by term and document. ``impact`` is a posting's BM25
+    score without the term's idf. Terms that many documents have are heavy: their impacts
+    also stand in ``dense``, a row for each, and ``highest`` has the largest of each
+    ``BLOCK`` documents."""
 
     def __init__(self, terms, starts, docs, counts, lengths, average: float):
-        self.terms, self.starts, self.docs, self.counts, self.lengths = terms, starts, docs, counts, lengths
+        self.terms, self.starts, self.docs, self.lengths = terms, starts, docs, lengths
         self.impact = counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[docs] / average))
-
-    @classmethod
-    def build(cls, texts: Iterable[str], average: float) -> "ShardIndex":
-        terms, docs, counts, lengths = [], [], [], []
-        for i, text in enumerate(texts):
-            words = text.encode("utf-8", "replace").lower().split()
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-            own, times = np.unique(hashes, return_counts=True)
-            terms.append(own), counts.append(times.astype(np.int32)), lengths.append(len(words))
-            docs.append(np.full(len(own), i, np.int32))
-        terms, docs, counts = map(np.concatenate, (terms, docs, counts))
-        order = np.argsort(terms, kind="stable")
-        terms, docs, counts = terms[order], docs[order], counts[order]
-        distinct, starts = np.unique(terms, return_index=True)
-        starts = np.append(starts, len(terms)).astype(np.int32)
-        return cls(distinct, starts, docs, counts, np.array(lengths, np.int32), average)
-
-    def search(self, terms: np.ndarray, idf: np.ndarray, k: int, skip: int = -1) -> list[tuple[int, float]]:
-        """The ``k`` best documents, with all that tie with the last one.
-
-        Block ends cut the document numbers into segments; a segment's bound is the sum of
-        the largest scores of the blocks over it. Segments are scored from the highest bound
-        down, until no bound reaches the k-th score.
+        sizes = np.diff(starts)
+        heavy = np.flatnonzero(sizes > len(lengths) / LONG)
+        heavy = heavy[np.argsort(-sizes[heavy], kind="stable")][:HEAVY]
+        self.row = np.full(len(terms), -1)
+        self.row[heavy] = np.arange(len(heavy))
+        self.blocks = -(-len(lengths) // BLOCK)
+        self.dense = np.zeros((len(heavy), self.blocks * BLOCK))
+        for i, t in enumerate(heavy):
+            own = slice(starts[t], starts[t + 1])
+            self.dense[i, docs[own]] = self.impact[own]
+        self.highest = self.dense.reshape(len(heavy), self.blocks, BLOCK).max(axis=2)
+
+    def search(self, ids: np.ndarray, terms: list[np.ndarray], idf: list[np.ndarray], k: int):
+        """``(query, doc_id, score)`` arrays: the ``k`` best documents of each query, ties
+        to the smaller id.
+
+        The light terms are added up first. The k-th of these sums is a lower bound of the
+        k-th score; a block is scored in full for the queries whose largest sum in it and
+        whose heavy terms' largest impacts there reach that bound.
         """
-        at = np.searchsorted(self.terms, terms)
-        here = np.flatnonzero((at < len(self.terms)) & (self.terms[np.minimum(at, len(self.terms) - 1)] == terms))
-        lists = [(int(self.starts[at[i]]), int(self.starts[at[i] + 1]), float(idf[i])) for i in here]
-        if not lists:
-            return []
-        firsts, lasts, highest = [], [], []
-        for low, high, weight in lists:
-            blocks = np.arange(low, high, BLOCK)
-            firsts.append(self.docs[blocks])
-            lasts.append(self.docs[np.minimum(blocks + BLOCK, high) - 1])
-            highest.append(np.maximum.reduceat(self.impact[low:high], blocks - low) * weight)
-        first, last, most = map(np.concatenate, (firsts, lasts, highest))
-        edges = np.unique(np.concatenate([first, last + 1]))
-        steps = np.zeros(len(edges))
-        np.add.at(steps, np.searchsorted(edges, first), most)
-        np.add.at(steps, np.searchsorted(edges, last + 1), -most)
-        bounds = np.cumsum(steps)[:-1]
+        scores, weights = self._light(terms, idf)
         margin = 10.0**-DIGITS
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > margin]
-        found: list[tuple[int, float]] = []
-        least, done, step = 0.0, 0, 64
-        while done < len(order) and bounds[order[done]] + margin >= least:
-            part = np.sort(order[done : done + step])
-            done, step = done + len(part), step * 2
-            found += self._scored(lists, edges[part], edges[part + 1], skip)
-            if len(found) > k:
-                scores = sorted((s for _, s in found), reverse=True)
-                least = scores[k - 1]
-                found = [x for x in found if x[1] >= least - 2 * margin]
-        return found
-
-    def _scored(self, lists, begins, ends, skip):
-        docs, scores = [], []
-        for low, high, weight in lists:
-            own = self.docs[low:high]
-            a, b = np.searchsorted(own, begins), np.searchsorted(own, ends)
-            there = b - a
-            total = int(there.sum())
-            if total:  # the ranges a to b, laid end to end
-                at = np.arange(total) + np.repeat(a - (np.cumsum(there) - there), there)
-                docs.append(own[at])
-                scores.append(self.impact[low:high][at] * weight)
-        if not docs:
-            return []
-        distinct, place = np.unique(np.concatenate(docs), return_inverse=True)
-        total = np.zeros(len(distinct))
-        np.add.at(total, place, np.concatenate(scores))
-        return [(int(d), float(s)) for d, s in zip(distinct, total) if d != skip]
-
-
-def _indexed(average: float):
-    def run(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["doc_id", "text"])
-        index = ShardIndex.build(shard["text"], average)
-        return pd.DataFrame(
-            {
-                "shard": [int(shard["shard"].iloc[0])],
-                "doc_ids": [shard["doc_id"].astype("int64").tolist()],
-                "terms": [index.terms.tobytes()],
-                "starts": [index.starts.tobytes()],
-                "docs": [index.docs.astype(np.uint16 if len(shard) <= 1 << 16 else np.int32).tobytes()],
-                "counts": [index.counts.tobytes()],
-                "lengths": [index.lengths.tobytes()],
-            }
-        )
-
-    return run
+        n, within = len(self.lengths), min(k, len(self.lengths))
+        least = np.partition(scores[:, :n], n - within, axis=1)[:, n - within] - 2 * margin
+        bounds = scores.reshape(len(terms), self.blocks, BLOCK).max(axis=2) + weights @ self.highest
+        reached = bounds + margin >= least[:, None]
+        for block in range(self.blocks):
+            part, q = slice(block * BLOCK, (block + 1) * BLOCK), np.flatnonzero(reached[:, block])
+            scores[q, part] += weights[q] @ self.dense[:, part]
+        scores = scores[:, :n]
+        least = np.partition(scores, n - within, axis=1)[:, n - within] - 2 * margin
+        query, doc = np.nonzero((scores > 0) & (scores >= least[:, None]))
+        score, doc_id = np.round(scores[query, doc], DIGITS), ids[doc]
+        order = np.lexsort((doc_id, -score, query))
+        query, doc_id, score = query[order], doc_id[order], score[order]
+        best = np.arange(len(query)) - np.searchsorted(query, query) < k
+        return query[best], doc_id[best], score[best]
+
+    def _light(self, terms, idf) -> tuple[np.ndarray, np.ndarray]:
+        """For each query the documents' scores by light terms, and its heavy terms' idf."""
+        scores = np.zeros((len(terms), self.blocks * BLOCK))
+        weights = np.zeros((len(terms), len(self.dense)))
+        for i, (own, weight) in enumerate(zip(terms, idf)):
+            at = np.minimum(np.searchsorted(self.terms, own), len(self.terms) - 1)
+            here = self.terms[at] == own
+            at, weight = at[here], weight[here]
+            row = self.row[at]
+            weights[i, row[row >= 0]] = weight[row >= 0]
+            at, weight = at[row < 0], weight[row < 0]
+            low, there = self.starts[at], self.starts[at + 1] - self.starts[at]
+            total = int(there.sum())  # the lists, laid end to end
+            at = np.arange(total) + np.repeat(low - (np.cumsum(there) - there), there)
+            scores[i] = np.bincount(self.docs[at], self.impact[at] * np.repeat(weight, there), self.blocks * BLOCK)
+        return scores, weights
+
+
+def postings(texts: Iterable[str]) -> tuple[np.ndarray, ...]:
+    """Terms, starts, docs, counts and lengths of a shard's index."""
+    terms, docs, counts, lengths = [], [], [], []
+    for i, text in enumerate(texts):
+        words = text.encode("utf-8", "replace").lower().split()
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), np.uint64, len(words))
+        own, times = np.unique(hashes, return_counts=True)
+        terms.append(own), counts.append(times.astype(np.int32)), lengths.append(len(words))
+        docs.append(np.full(len(own), i, np.int32))
+    terms, docs, counts = map(np.concatenate, (terms, docs, counts))
+    order = np.argsort(terms, kind="stable")
+    terms, docs, counts = terms[order], docs[order], counts[order]
+    distinct, starts = np.unique(terms, return_index=True)
+    starts = np.append(starts, len(terms)).astype(np.int32)
+    return distinct, starts, docs, counts, np.array(lengths, np.int32)
+
+
+def _indexed(shard: pd.DataFrame) -> pd.DataFrame:
+    shard = shard.sort_values(["doc_id", "text"])
+    terms, starts, docs, counts, lengths = postings(shard["text"])
+    return pd.DataFrame(
+        {
+            "shard": [int(shard["shard"].iloc[0])],
+            "doc_ids": [shard["doc_id"].astype("int64").tolist()],
+            "terms": [terms.tobytes()],
+            "starts": [starts.tobytes()],
+            "docs": [docs.astype(np.uint16 if len(shard) <= 1 << 16 else np.int32).tobytes()],
+            "counts": [counts.tobytes()],
+            "lengths": [lengths.tobytes()],
+        }
+    )
 
 
-def _searched(k: int, average: float):
+def _searched(k: int, n: int, average: float):
     def run(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(index) and len(queries):
-            row = index.iloc[0]
-            ids = np.array(row["doc_ids"], np.int64)
+        none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float64)
+        found = [none]
+        asked = queries["query_id"].to_numpy(np.int64)
+        for row in index.itertuples() if len(asked) else ():
+            ids = np.array(row.doc_ids, np.int64)
+            if not len(row.terms):
+                continue  # no document of it has a word
             width = np.uint16 if len(ids) <= 1 << 16 else np.int32
             shard = ShardIndex(
-                np.frombuffer(row["terms"], np.uint64),
-                np.frombuffer(row["starts"], np.int32),
-                np.frombuffer(row["docs"], width).astype(np.int32),
-                np.frombuffer(row["counts"], np.int32),
-                np.frombuffer(row["lengths"], np.int32),
+                np.frombuffer(row.terms, np.uint64),
+                np.frombuffer(row.starts, np.int32),
+                np.frombuffer(row.docs, width).astype(np.int32),
+                np.frombuffer(row.counts, np.int32),
+                np.frombuffer(row.lengths, np.int32),
                 average,
             )
-            for query_id, terms, idf in zip(queries["query_id"], queries["terms"], queries["idf"]):
-                hashes = np.fromiter((xxhash.xxh64_intdigest(t.encode()) for t in terms), np.uint64, len(terms))
-                for doc, score in shard.search(hashes, np.asarray(idf), k + 1):
-                    if ids[doc] != query_id:
-                        rows.append((query_id, int(ids[doc]), round(score, DIGITS)))
-        return pd.DataFrame(rows, columns=["query_id", "doc_id", "score"]).astype(
-            {"query_id": "int64", "doc_id": "int64", "score": "float64"}
-        )
+            for at in range(0, len(asked), QUERIES_AT_ONCE):
+                part = slice(at, at + QUERIES_AT_ONCE)
+                terms = [np.asarray(t, np.int64).view(np.uint64) for t in queries["terms"].iloc[part]]
+                dfs = [np.asarray(d, np.float64) for d in queries["dfs"].iloc[part]]
+                idf = [np.log(1 + (n - df + 0.5) / (df + 0.5)) for df in dfs]
+                query, doc_id, score = shard.search(ids, terms, idf, k + 1)
+                query = asked[part][query]
+                other = doc_id != query
+                found.append((query[other], doc_id[other], score[other]))
+        return pd.DataFrame(dict(zip(("query_id", "doc_id", "score"), map(np.concatenate, zip(*found)))))
 
     return run
 
@@ -153,23 +158,26 @@ def _words(text):
     return F.array_remove(F.split(ascii_lower(text), "[ \\t-\\r]+"), "")
 
 
-def search(docs: DataFrame, every: int = 20, k: int = 10, terms: int = QUERY_TERMS) -> DataFrame:
+def search(docs: DataFrame, every: int = 20, k: int = 10, terms: int | None = None) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the ``k`` best other documents by BM25 for each
     document whose doc_id is divisible by ``every``.
 
-    A query is made of the ``terms`` rarest words of the whole text that at least two
-    documents have; ties of rarity go to the first in byte order. Words are split at ASCII
-    white space, with A-Z lower-cased. Scores use the numbers of documents and words and the
-    document frequencies of the whole table, and are exact; those that agree to six decimals
-    are ties, which go to the smaller doc_id. Documents without any query word are no hits.
+    A query is made of all distinct words of the whole text, or with ``terms`` of so many of
+    its rarest words that at least two documents have, where ties of rarity go to the first
+    in byte order. Words are split at ASCII white space, with A-Z lower-cased. Scores use the
+    numbers of documents and words and the document frequencies of the whole table, and are
+    exact; those that agree to six decimals are ties, which go to the smaller doc_id.
+    Documents without any query word are no hits.
 
     Null texts count as empty; rows without a doc_id count in the statistics but are neither
     queries nor hits. Rows with the query's doc_id are no hits for it; of other repeated rows
     each is one, and a repeated query asks once, with the words of all its rows. Other
     columns are ignored. An empty table gives an empty result.
 
-    Shards hold about ``SHARD`` documents. An index is built in one task and written; queries
-    come to it in parts. Each shard's results are whole, so the merge is exact.
+    Shards hold about ``SHARD`` documents. An index is built in one task and goes straight to
+    the tasks that search it, which get the queries in parts, without the words that only one row has, which find nothing. Each
+    shard's results are whole, so the merge is exact. Every query visits every shard, so the
+    work grows with the square of the table.
     """
     scratch = Scratch(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty(F.col("text")).alias("text"))
@@ -180,24 +188,25 @@ def search(docs: DataFrame, every: int = 20, k: int = 10, terms: int = QUERY_TER
         F.count(F.lit(1)), F.sum(F.regexp_count(F.col("text"), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long"))
     ).first()
     average = max((total or 0) / max(n, 1), 1e-9)
-    asked = texts.filter(F.col("doc_id") % every == 0).select("doc_id", F.explode(words).alias("term")).distinct()
-    ranked = asked.withColumn("h", F.xxhash64("term")).join(frequency, "h").filter(F.col("df") >= 2)
-    place = F.row_number().over(W.partitionBy("doc_id").orderBy("df", "term"))
-    idf = F.ln(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    asked = texts.filter(F.col("doc_id") % every == 0).select("doc_id", F.explode(words).alias("term"))
+    asked = asked.withColumn("h", F.xxhash64("term")).select("doc_id", "h", *["term"] * (terms is not None)).distinct()
+    asked = asked.join(frequency.filter(F.col("df") >= 2), "h")
+    if terms is not None:
+        place = F.row_number().over(W.partitionBy("doc_id").orderBy("df", "term"))
+        asked = asked.withColumn("place", place).filter(F.col("place") <= terms)
     queries = scratch.write(
-        ranked.withColumn("place", place)
-        .filter(F.col("place") <= terms)
-        .groupBy(F.col("doc_id").alias("query_id"))
-        .agg(F.array_sort(F.collect_list(F.struct("term", idf.alias("idf")))).alias("q"))
-        .select("query_id", F.col("q.term").alias("terms"), F.col("q.idf").alias("idf"))
+        asked.groupBy(F.col("doc_id").alias("query_id"))
+        .agg(F.array_sort(F.collect_list(F.struct("h", F.col("df").cast("int").alias("df")))).alias("q"))
+        .select("query_id", F.col("q.h").alias("terms"), F.col("q.df").alias("dfs"))
     )
     shards, parts = n // SHARD + 1, queries.count() // QUERIES_PER_TASK + 1
-    index = scratch.write(
+    groups = min(shards, max(GROUPS, -(-shards // SHARDS_PER_TASK)))  # of shards that share a copy of the queries
+    index = (
         texts.filter(F.col("doc_id").isNotNull())
         .withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(shards)))
         .groupBy("shard")
         .applyInPandas(
-            _indexed(average),
+            _indexed,
             "shard long, doc_ids array<bigint>, terms binary, starts binary, docs binary, counts binary, lengths binary",
         )
     )
@@ -205,10 +214,10 @@ def search(docs: DataFrame, every: int = 20, k: int = 10, terms: int = QUERY_TER
     def numbers(count: int):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
 
-    to = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts))).withColumn("shard", numbers(shards))
-    copies = index.withColumn("part", numbers(parts))
-    found = copies.groupBy("shard", "part").cogroup(to.groupBy("shard", "part")).applyInPandas(
-        _searched(k, average), "query_id long, doc_id long, score double"
+    to = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts))).withColumn("group", numbers(groups))
+    copies = index.withColumn("group", F.col("shard") % groups).withColumn("part", numbers(parts))
+    found = copies.groupBy("group", "part").cogroup(to.groupBy("group", "part")).applyInPandas(
+        _searched(k, n, average), "query_id long, doc_id long, score double"
     )
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

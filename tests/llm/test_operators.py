@@ -280,6 +280,36 @@ def test_search_against_scoring_everything(spark):
         assert {k: v for k, v in got.items() if k[0] == q} == want
 
 
+def test_search_asks_with_the_whole_text(spark):
+    rng = random.Random(7)
+    words = [f"v{i}" for i in range(260)]
+    texts = {i: " ".join(rng.choices(words, [1 / (1 + j) for j in range(260)], k=rng.randrange(30, 200))) for i in range(200)}
+    # Forty words in common, each in ten texts, but none of the query's rarest sixteen.
+    shared, odd = [f"m{i}" for i in range(40)], [f"x{i}" for i in range(16)]
+    texts[20] = " ".join(shared + odd)
+    texts[201] = " ".join(shared)
+    for i in range(8):
+        texts[300 + i] = " ".join(shared + [f"z{i}{j}" for j in range(300)])
+    texts[400] = " ".join(odd)
+    split = {i: Counter(t.split()) for i, t in texts.items()}
+    df = Counter(w for ws in split.values() for w in ws)
+    n, average = len(texts), sum(sum(ws.values()) for ws in split.values()) / len(texts)
+    found = search(docs(spark, [(i, t, "a") for i, t in texts.items()])).collect()
+    got = {(r["query_id"], r["rank"]): (r["doc_id"], r["score"]) for r in found}
+    want = {}
+    for q in [i for i in texts if i % 20 == 0]:
+        scores = []
+        for i, ws in split.items():
+            s = sum(
+                np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * ws[t] * 2.2 / (ws[t] + 1.2 * (0.25 + 0.75 * sum(ws.values()) / average))
+                for t in split[q] if t in ws
+            )
+            if s and i != q:
+                scores.append((-round(s, 6), i))
+        want |= {(q, r + 1): (i, -s) for r, (s, i) in enumerate(sorted(scores)[:10])}
+    assert got == want and got[20, 1][0] == 201
+
+
 def test_nearest_with_odd_vectors_and_many_equal_ones(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
