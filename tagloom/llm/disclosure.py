@@ -1,9 +1,9 @@
 """Personal data, and the words that give it away.
 
-Base spans follow fixed patterns. Around them, corpus co-occurrence tells how much a word
-reveals of the entity beside it: the pointwise mutual information of word and entity as a
-share of the entity's own information. Words over a threshold are generalised, those over a
-higher one removed.
+Base spans follow fixed patterns. Corpus co-occurrence tells how much a word reveals of an
+entity in the same document: the pointwise mutual information of word and entity as a share
+of the entity's own information. Words over a threshold are generalised, those over a
+higher one removed, wherever they occur.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ PATTERNS = {
 MARK = {"email": "@", "phone": "+"}  # no match without it
 KINDS = tuple(PATTERNS)
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-TERM = r"\p{L}{4,}+"
-CONTEXT = 96  # code points on either side of an entity
+TERM = r"\p{L}++"
+OUTSIDE = r"(?<![\p{L}\x00])\p{L}++(?!\x00)"  # words that touch no address, each replaced by a zero
 MIN_TEXTS = 3  # different texts in which a word and an entity must meet
 GENERALISE, REMOVE = 0.8, 0.95
 BLOCK = 256
@@ -75,7 +75,7 @@ def _found(kind: str, text: Column) -> Column:
 
 
 def _located(matches: Column, pieces: Column) -> Column:
-    """``(start, value, before, after)`` of matches, from the text between them."""
+    """``(start, value)`` of matches, from the text between them."""
     lengths = F.zip_with(
         F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: (F.length(p) + F.length(m)).cast("long")
     )
@@ -85,16 +85,13 @@ def _located(matches: Column, pieces: Column) -> Column:
     zipped = F.arrays_zip(
         starts.alias("start"),
         matches.alias("value"),
-        F.slice(pieces, F.lit(1), F.size(matches)).alias("before"),
-        F.slice(pieces, F.lit(2), F.size(matches)).alias("after"),
     )
     return zipped
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` and ``spans``, an array of ``(start, rank, kind, end, value, before, after)``
-    by start and kind; ``before`` and ``after`` are the text around a span, up to the next of
-    its kind and a little over ``CONTEXT`` code points. Needs ``text`` without nulls."""
+    """``docs`` and ``spans``, an array of ``(start, rank, kind, end, value)`` by start and
+    kind. Needs ``text`` without nulls."""
     found = docs.select("*", *[_found(k, F.col("text")).alias(f"found_{k}") for k in KINDS])
     kinds = [_spans_of(kind, rank) for rank, kind in enumerate(KINDS)]
     return found.select(*docs.columns, F.array_sort(F.concat(*kinds)).alias("spans"))
@@ -111,14 +108,12 @@ def _spans_of(kind: str, rank: int) -> Column:
             F.lit(kind).alias("kind"),
             (m["start"] + F.length(m["value"])).alias("end"),
             m["value"].alias("value"),
-            F.substring(m["before"], -(CONTEXT + 1), CONTEXT + 1).alias("before"),
-            F.substring(m["after"], 1, CONTEXT + 1).alias("after"),
         ),
     )
     return F.when(F.size(matches) > 0, spans).otherwise(F.array().cast(SPANS))
 
 
-SPANS = "array<struct<start:bigint,rank:int,kind:string,end:bigint,value:string,before:string,after:string>>"
+SPANS = "array<struct<start:bigint,rank:int,kind:string,end:bigint,value:string>>"
 
 
 def _entity(span: Column) -> Column:
@@ -127,86 +122,79 @@ def _entity(span: Column) -> Column:
     return F.xxhash64(span["kind"], F.when(span["kind"].isin("card", "phone"), _digits(written)).otherwise(written))
 
 
-def _words(context: Column) -> Column:
-    matches = F.regexp_extract_all(context, F.lit(TERM), 0)
-    located = _located(matches, F.split(context, TERM, -1))
-    return F.when(F.size(matches) > 0, located).otherwise(
-        F.array().cast("array<struct<start:bigint,value:string,before:string,after:string>>")
-    )
+def _terms(text: Column) -> Column:
+    """The distinct words outside addresses, hashed."""
+    outside = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, PATTERNS["email"], "\0")).otherwise(text)
+    words = F.regexp_extract_all(F.lower(outside), F.lit(OUTSIDE), 0)
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def _near(spans: DataFrame) -> DataFrame:
-    """``(doc_id, text_id, entity, term, start, end)``: whole words beside each entity."""
-    one = spans.select("doc_id", "text_id", F.explode("spans").alias("span")).select(
-        "doc_id",
-        "text_id",
-        _entity(F.col("span")).alias("entity"),
-        F.col("span.start").alias("from"),
-        F.col("span.end").alias("to"),
-        F.col("span.before").alias("before"),
-        F.col("span.after").alias("after"),
-    )
-    before, after = F.col("before"), F.col("after")
-
-    def placed(base: Column):
-        return lambda w: F.struct(
-            F.xxhash64(F.lower(w["value"])).alias("term"),
-            (base + w["start"]).alias("start"),
-            (base + w["start"] + F.length(w["value"])).alias("end"),
-        )
-
-    # A context longer than CONTEXT goes on beyond its far end, where a word may be cut.
-    left = F.filter(_words(before), lambda w: (F.length(before) <= CONTEXT) | (w["start"] > 0))
-    right = F.filter(
-        _words(after), lambda w: (F.length(after) <= CONTEXT) | (w["start"] + F.length(w["value"]) < F.length(after))
-    )
-    words = F.concat(
-        F.transform(left, placed(F.col("from") - F.length(before))), F.transform(right, placed(F.col("to")))
-    )
-    return one.select("doc_id", "text_id", "entity", F.explode(words).alias("w")).select(
-        "doc_id", "text_id", "entity", "w.term", "w.start", "w.end"
+def _disclosing(spans: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(term, kind)`` of words that reveal too much of an entity, by the rows of ``spans``."""
+    rows = spans.select("text_id", F.array_distinct(F.transform("spans", _entity)).alias("entities"), "words")
+    rows = rows.filter(F.size("entities") > 0).select("text_id", F.explode("entities").alias("entity"), "words")
+    entities = scratch.small_side(
+        rows.groupBy("entity", "text_id")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("entity")
+        .agg(F.sum("rows").alias("of_entity"), F.count(F.lit(1)).alias("texts"))
+        .filter(F.col("texts") >= MIN_TEXTS)
+        .drop("texts")
     )
+    n = float(spans.count())
+    most = entities.agg(F.max("of_entity")).first()[0] or 0
 
+    # A share of GENERALISE needs of_term <= both * (n / of_entity) ** (1 - GENERALISE), and
+    # both is of_entity at most; words beyond that are left out before anything is joined.
+    def limit(of_entity):
+        return of_entity**GENERALISE * n ** (1 - GENERALISE) * (1 + 1e-9)
 
-def _disclosing(texts: DataFrame, spans: DataFrame, near: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(entity, term, kind)`` of words that reveal too much of an entity."""
-    document = ["doc_id", "text_id"]
-    together = (
-        near.select("entity", "term", *document)
-        .distinct()
-        .groupBy("entity", "term", "text_id")
-        .agg(F.count(F.lit(1)).alias("docs"))
-        .groupBy("entity", "term")
-        .agg(F.sum("docs").alias("both"), F.count(F.lit(1)).alias("texts"))
-        .filter(F.col("texts") >= MIN_TEXTS)
-    )
-    together = scratch.write(together)
-    wanted = scratch.small_side(together.select("term").distinct())
-    words = F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)
-    # Counted before the join, so that the join makes a row per word and not per document.
-    terms = (
-        texts.select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))).alias("term"))
+    terms = scratch.small_side(
+        spans.select(F.explode("words").alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("of_term"))
-        .join(wanted, "term")
+        .filter((F.col("of_term") >= MIN_TEXTS) & (F.col("of_term") <= limit(most)))
     )
-    entities = (
-        spans.select(*document, F.explode("spans").alias("span"))
-        .select(*document, _entity(F.col("span")).alias("entity"))
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("of_entity"))
+    together = (
+        rows.join(entities, "entity")
+        .select("text_id", "entity", "of_entity", F.explode("words").alias("term"))
+        .join(terms, "term")
+        .filter(F.col("of_term") <= limit(F.col("of_entity")))
+        .groupBy("entity", "term", "of_entity", "of_term", "text_id")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("entity", "term", "of_entity", "of_term")
+        .agg(F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts"))
+        .filter(F.col("texts") >= MIN_TEXTS)
     )
-    n = F.lit(float(spans.count()))
     information = -F.ln(F.col("of_entity") / n)
     mutual = F.ln(F.col("both") * n / (F.col("of_entity") * F.col("of_term")))
     share = F.when(information > 0, mutual / information)
     return (
-        together.join(terms, "term")
-        .join(entities, "entity")
-        .withColumn("share", share)
+        together.withColumn("share", share)
         .filter(F.col("share") >= GENERALISE)
-        .select("entity", "term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("kind"))
+        .groupBy("term")
+        .agg(F.when(F.max("share") >= REMOVE, "remove").otherwise("generalise").alias("kind"))
+    )
+
+
+def _marked(keyed: DataFrame, spans: DataFrame, disclosing: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(doc_id, text_id, start, end, kind)``: every place of a disclosing word, in all texts."""
+    document = ["doc_id", "text_id"]
+    key = F.coalesce("doc_id", F.lit(-1)).alias("doc_id")
+    disclosing = scratch.small_side(disclosing)
+    having = scratch.small_side(
+        spans.select(key, "text_id", F.explode("words").alias("term")).join(disclosing, "term").select(*document).distinct()
+    )
+    text = F.col("text")
+    words = _located(F.regexp_extract_all(text, F.lit(TERM), 0), F.split(text, TERM, -1))
+    return (
+        keyed.select(key, "text_id", "text")
+        .join(having, document, "left_semi")
+        .select(*document, F.explode(words).alias("w"))
+        .select(*document, F.xxhash64(F.lower("w.value")).alias("term"), "w.start", (F.col("w.start") + F.length("w.value")).alias("end"))
+        .join(disclosing, "term")
+        .select(*document, "start", "end", "kind")
+        .distinct()
     )
 
 
@@ -233,17 +221,11 @@ def _clear_of_base(terms: DataFrame, spans: DataFrame) -> DataFrame:
 def _found_spans(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """``(doc_id, text_id, spans, terms)``, a row for each row of ``(doc_id, text)``."""
     keyed = texts.select("doc_id", digest(F.col("text")).alias("text_id"), "text")
-    spans = scratch.write(base_spans(keyed).drop("text"))
+    spans = scratch.write(base_spans(keyed).withColumn("words", _terms(F.col("text"))).drop("text"))
     # A row's key: rows that share doc_id and text share their spans. Rows without an id count apart.
     known = spans.filter(F.size("spans") > 0).withColumn("doc_id", F.coalesce("doc_id", F.lit(-1))).dropDuplicates(["doc_id", "text_id"])
-    near = scratch.write(_near(known))
-    disclosing = _disclosing(texts, spans, near, scratch)
-    terms = (
-        near.join(disclosing, ["entity", "term"])
-        .groupBy("doc_id", "text_id", "start", "end")
-        .agg(F.max("kind").alias("kind"))
-    )
-    terms = _clear_of_base(scratch.write(terms), known)
+    terms = scratch.write(_marked(keyed, spans, _disclosing(spans, scratch), scratch))
+    terms = _clear_of_base(terms, known)
     of_document = terms.groupBy(F.col("doc_id").alias("key_id"), F.col("text_id").alias("key_text")).agg(
         F.array_sort(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("rank"), "kind", "end"))).alias("terms")
     )
@@ -268,17 +250,18 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     Base spans are the leftmost non-overlapping matches of each kind that pass its test;
     kinds may overlap each other. The method adds spans of kind ``generalise`` and
-    ``remove``: words of four letters or more beside an entity whose mutual information with
-    it, over the corpus, is at least 0.8 or 0.95 of the entity's information, from at least
-    ``MIN_TEXTS`` different texts, and that touch no base span. Both are found in the words
-    within ``CONTEXT`` code points of the entity, so a document without base spans has none.
+    ``remove``: words whose mutual information with an entity, over the rows of the whole
+    table, is at least 0.8 or 0.95 of the entity's information, and that are in the same
+    document in at least ``MIN_TEXTS`` different texts. The largest share over all entities
+    counts. Such a word is marked wherever it touches no base span, at any distance from an
+    entity and in documents without one as well.
 
     Positions are code points, ends exclusive. A null text counts as empty. Rows without a
     doc_id are handled like others and told apart by text. Repeated rows have the same
     result each. Other columns are ignored. An empty table gives an empty result.
 
-    Texts are scanned in place; only spans and the words beside them are shuffled, and sums
-    per (entity, word) are combined before that.
+    Texts are scanned in place, and once more where they have a word to mark; only spans and
+    hashed words are shuffled, and sums are combined before that.
     """
     found = _found_spans(_texts(docs), Scratch(docs))
 

@@ -82,6 +82,20 @@ def test_spans_and_disclosing_words(spark):
     assert "Zebulon" not in clean[0] and "[email]" in clean[0] and clean[10] == rows[4][1]
 
 
+def test_disclosing_words_are_marked_in_every_text(spark):
+    rows = [(i, f"Bo Zebulon {i} zeb@corp.example {'1 ' * 200} Quill", "a") for i in range(3)]
+    rows += [(5, "so ZEBULON called, and Bo with Quill", "a"), (6, "corp of another example", "a")]
+    rows += [(10 + i, f"so and of with another word {i}", "a") for i in range(40)]
+    found = {r["doc_id"]: r["spans"] for r in personal_data(docs(spark, rows)).collect()}
+    # Zebulon is in four of 45 texts, three of them with the address: ln(45 / 4) / ln(45 / 3) = 0.894.
+    assert found[5] == "generalise:3:10,generalise:23:25,generalise:31:36"
+    at = rows[0][1].index("Quill")
+    assert found[0] == f"generalise:0:2,generalise:3:10,email:13:29,generalise:{at}:{at + 5}"
+    assert found[6] == "" and found[10] == ""
+    clean = {r["doc_id"]: r["text"] for r in sanitised(docs(spark, rows)).collect()}
+    assert clean[5] == "so [word] called, and [word] with [word]" and clean[6] == rows[4][1]
+
+
 def jaccard(a, b, width):
     def grams(t):
         w = t.lower().split()
