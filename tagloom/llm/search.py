@@ -45,15 +45,19 @@ class ShardIndex:
             self.dense[i, docs[own]] = self.impact[own]
         self.highest = self.dense.reshape(len(heavy), self.blocks, BLOCK).max(axis=2)
 
-    def search(self, ids: np.ndarray, terms: list[np.ndarray], idf: list[np.ndarray], k: int):
+    def search(self, ids: np.ndarray, asked: np.ndarray, terms: list[np.ndarray], idf: list[np.ndarray], k: int):
         """``(query, doc_id, score)`` arrays: the ``k`` best documents of each query, ties
-        to the smaller id.
+        to the smaller id. Documents with the ``asked`` id of a query are no hits for it.
 
         The light terms are added up first. The k-th of these sums is a lower bound of the
         k-th score; a block is scored in full for the queries whose largest sum in it and
         whose heavy terms' largest impacts there reach that bound.
         """
         scores, weights = self._light(terms, idf)
+        order = np.argsort(ids, kind="stable")
+        first, last = (np.searchsorted(ids[order], asked, side) for side in ("left", "right"))
+        for q in np.flatnonzero(last > first):
+            scores[q, order[first[q] : last[q]]] = -np.inf  # whatever is added to it
         margin = 10.0**-DIGITS
         n, within = len(self.lengths), min(k, len(self.lengths))
         least = np.partition(scores[:, :n], n - within, axis=1)[:, n - within] - 2 * margin
@@ -145,10 +149,8 @@ def _searched(k: int, n: int, average: float):
                 terms = [np.asarray(t, np.int64).view(np.uint64) for t in queries["terms"].iloc[part]]
                 dfs = [np.asarray(d, np.float64) for d in queries["dfs"].iloc[part]]
                 idf = [np.log(1 + (n - df + 0.5) / (df + 0.5)) for df in dfs]
-                query, doc_id, score = shard.search(ids, terms, idf, k + 1)
-                query = asked[part][query]
-                other = doc_id != query
-                found.append((query[other], doc_id[other], score[other]))
+                query, doc_id, score = shard.search(ids, asked[part], terms, idf, k)
+                found.append((asked[part][query], doc_id, score))
         return pd.DataFrame(dict(zip(("query_id", "doc_id", "score"), map(np.concatenate, zip(*found)))))
 
     return run

@@ -324,6 +324,12 @@ def test_search_asks_with_the_whole_text(spark):
     assert got == want and got[20, 1][0] == 201
 
 
+def test_search_finds_others_beside_many_rows_of_its_own(spark):
+    rows = [(20, "a b c", "a")] * 15 + [(i, f"a b w{i}", "a") for i in range(1, 5)]
+    found = sorted((r["rank"], r["doc_id"]) for r in search(docs(spark, rows)).collect())
+    assert found == [(i, i) for i in range(1, 5)]
+
+
 def test_nearest_with_odd_vectors_and_many_equal_ones(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
