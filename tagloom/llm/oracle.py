@@ -101,8 +101,7 @@ dl AS (SELECT doc_id, sum(tf) AS dl FROM tf GROUP BY 1),
 n AS (SELECT (SELECT count(*) FROM documents)::DOUBLE AS n, (SELECT sum(dl) FROM dl) AS total),
 query AS (
   SELECT doc_id AS query_id, term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf
-  FROM tf JOIN df USING (term), n WHERE doc_id % 20 = 0 AND df >= 2
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY df, term) <= 16),
+  FROM tf JOIN df USING (term), n WHERE doc_id % 20 = 0 AND df >= 2),
 scored AS (
   SELECT query_id, doc_id, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / (total / n)))), 6) AS score
   FROM query JOIN tf USING (term) JOIN dl USING (doc_id), n WHERE doc_id <> query_id GROUP BY ALL)
@@ -118,4 +117,57 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 FROM score QUALIFY rank <= 20
 """
 
-ORACLE_SQL = {"op5_tool_calls": OP5, "op8_search": OP8, "op10_nearest": OP10, "op3_source_mixing": OP3, "op2_near_dedup": OP2, "op9_line_dedup": OP9}
+OP12 = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, m, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS gram
+  FROM (SELECT *, least(len(w), 10) AS m FROM item WHERE len(w) > 0)),
+places AS (SELECT doc_id, m, unnest(range(1, len(w) - m + 2)) AS i,
+    unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS gram
+  FROM doc, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m),
+hits AS (SELECT doc_id, i, m, item_id FROM places JOIN windows USING (m, gram)),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hits) GROUP BY 1),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY 1),
+grams AS (SELECT lang, m, unnest([w[i:i + m - 1] FOR i IN range(1, len(w) - m + 2)]) AS g
+  FROM split, range(1, 5) t(m) WHERE len(w) >= m),
+counts AS (SELECT lang, m, g, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT * FROM counts WHERE m >= 2),
+inner_parts AS (SELECT lang, c.a, g[i:i + k - 1] AS g FROM candidates c, range(2, 4) t(k), range(1, 4) u(i)
+  WHERE k < m AND i + k - 1 <= m),
+longest AS (SELECT lang, g, max(a) AS a FROM inner_parts GROUP BY ALL),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN longest x ON x.lang = c.lang AND x.g = c.g WHERE x.a IS NULL OR 100 * x.a < 80 * c.a),
+cuts AS (SELECT c.lang, c.g, c.a, k, l.a AS l, r.a AS r, ((2000000::HUGEINT * c.a) // (l.a + r.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) c
+  JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN counts r ON r.lang = c.lang AND r.g = c.g[k + 1:m]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+placed AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM best)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM placed JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE_SQL = {
+    "op2_near_dedup": OP2,
+    "op3_source_mixing": OP3,
+    "op5_tool_calls": OP5,
+    "op8_search": OP8,
+    "op9_line_dedup": OP9,
+    "op10_nearest": OP10,
+    "op12_decontamination": OP12,
+    "op13_collocations": OP13,
+}

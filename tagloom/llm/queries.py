@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.chosen_path import near_duplicates
+from tagloom.llm.collocations import collocations
+from tagloom.llm.contamination import contamination_digest
 from tagloom.llm.disclosure import personal_data
 from tagloom.llm.gam import quality_scores
 from tagloom.llm.hnsw import nearest
 from tagloom.llm.lines import line_dedup_digest
 from tagloom.llm.mixing import Target, mixed_sources
 from tagloom.llm.packing import pack
+from tagloom.llm.repair import repair_digest
 from tagloom.llm.search import search
 from tagloom.llm.tool_calls import linked_conversations
 from tagloom.llm.wavelet import token_files
@@ -60,6 +63,18 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digest(_table(spark, sf_dir, "conversations"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,5 +88,8 @@ QUERIES = {
         op8_search,
         op9_line_dedup,
         op10_nearest,
+        op11_conversation_repair,
+        op12_decontamination,
+        op13_collocations,
     )
 }
