@@ -154,7 +154,7 @@ longest AS (SELECT lang, g, max(a) AS a FROM inner_parts GROUP BY ALL),
 kept AS (SELECT c.* FROM candidates c LEFT JOIN longest x ON x.lang = c.lang AND x.g = c.g WHERE x.a IS NULL OR 100 * x.a < 80 * c.a),
 cuts AS (SELECT c.lang, c.g, c.a, k, l.a AS l, r.a AS r, ((2000000::HUGEINT * c.a) // (l.a + r.a))::BIGINT AS score
   FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) c
-  JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN counts r ON r.lang = c.lang AND r.g = c.g[k + 1:m]),
+  JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN counts r ON r.lang = c.lang AND r.g = c.g[k + 1:c.m]),
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
 placed AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM best)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
