@@ -30,8 +30,14 @@ NO_LANG = "und"
 HELD_WORDS, HELD_ENTRIES = 300_000, 1_000_000
 # Numbered words that are broadcast; a larger vocabulary is joined.
 BROADCAST_WORDS = 1_000_000
-# Words of the corpus to a bucket, and bits of the bitmap of common pairs.
-WORDS_PER_BUCKET, BITMAP = 1 << 17, 1 << 26
+# Each task deals its n-grams into 2**BUCKET filters, so that filters grow with the input
+# and not with its square. A corpus with more than BUCKET_WORDS words to each of them is
+# dealt once more, into 2**BUCKET finer ones each, and so on.
+BUCKET, BUCKET_WORDS = 9, 1 << 24
+# Bits of the bitmap of common pairs.
+BITMAP = 1 << 26
+# A language's best phrases are looked for in this many parts first.
+PARTS = 64
 
 _BREAK = b"."
 # A-Z to a-z, every mark that ends a piece to a full stop, tab to space.
@@ -187,10 +193,34 @@ class _Counting:
             yield self.out(merged(held))
 
     def out(self, entries) -> pa.RecordBatch:
-        buckets = self.filters.split(entries[0])
-        first = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
-        data = [self.filters.write(*(x[a:b] for x in entries)) for a, b in zip(first, np.r_[first[1:], len(buckets)])]
-        return pa.RecordBatch.from_arrays([pa.array(buckets[first]), pa.array(data, pa.binary())], names=["bucket", "filter"])
+        return _dealt(self.filters, entries)
+
+
+def _dealt(filters: QuotientFilters, entries) -> pa.RecordBatch:
+    buckets = filters.split(entries[0])
+    first = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
+    data = [filters.write(*(x[a:b] for x in entries)) for a, b in zip(first, np.r_[first[1:], len(buckets)])]
+    return pa.RecordBatch.from_arrays([pa.array(buckets[first]), pa.array(data, pa.binary())], names=["bucket", "filter"])
+
+
+class _Dealing:
+    """Filters dealt into finer ones, for rows sorted by bucket."""
+
+    def __init__(self, filters: QuotientFilters, finer: QuotientFilters):
+        self.filters, self.finer = filters, finer
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, size = None, [], 0
+        for batch in batches:
+            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("filter").to_pylist()):
+                if held and (bucket != current or size > HELD_ENTRIES):
+                    yield _dealt(self.finer, merged(held))
+                    held, size = [], 0
+                current = bucket
+                held.append(self.filters.read(bucket, data))
+                size += len(held[-1][0])
+        if held:
+            yield _dealt(self.finer, merged(held))
 
 
 class _Merging:
@@ -223,10 +253,22 @@ class _Merging:
         return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=[*_NUMBERS, "a", "bit"])
 
 
-def _counted(ids: DataFrame, filters: QuotientFilters, least: int, scratch: Scratch, common=None) -> DataFrame:
-    parts = ids.mapInArrow(_Counting(filters, common), "bucket long, filter binary")
+def _levels(packing: Packing, total: int) -> list[QuotientFilters]:
+    """Filters of ever finer buckets, the last of which are small enough to merge."""
+    levels = [QuotientFilters(packing, BUCKET)]
+    while total >> levels[-1].bucket > BUCKET_WORDS and levels[-1].rest > BUCKET:
+        levels.append(QuotientFilters(packing, levels[-1].bucket + BUCKET))
+    return levels
+
+
+def _counted(ids: DataFrame, levels: list[QuotientFilters], least: int, scratch: Scratch, common=None) -> DataFrame:
+    parts = ids.mapInArrow(_Counting(levels[0], common), "bucket long, filter binary")
+    for filters, finer in zip(levels, levels[1:]):
+        # A coarse bucket is large; its rows are spread by what they hold as well.
+        spread = parts.withColumn("part", F.pmod(F.crc32("filter"), F.lit(PARTS))).repartition("bucket", "part")
+        parts = spread.drop("part").sortWithinPartitions("bucket").mapInArrow(_Dealing(filters, finer), "bucket long, filter binary")
     whole = parts.repartition("bucket").sortWithinPartitions("bucket")
-    return scratch.write(whole.mapInArrow(_Merging(filters, least), "w1 long, w2 long, w3 long, w4 long, a long, bit long"))
+    return scratch.write(whole.mapInArrow(_Merging(levels[-1], least), "w1 long, w2 long, w3 long, w4 long, a long, bit long"))
 
 
 def _bitmap(pairs: DataFrame) -> np.ndarray:
@@ -246,10 +288,10 @@ def _bitmap(pairs: DataFrame) -> np.ndarray:
 def frequent_ngrams(ids: DataFrame, packing: Packing, total: int, least: int, scratch: Scratch) -> DataFrame:
     """``(w1, w2, w3, w4, a)``: n-grams of two to four words found at least ``least`` times,
     as word numbers with 0 for no word."""
-    filters = QuotientFilters(packing, (total // WORDS_PER_BUCKET).bit_length() + 4)
-    pairs = _counted(ids, filters, least, scratch)
+    levels = _levels(packing, total)
+    pairs = _counted(ids, levels, least, scratch)
     common = ids.sparkSession.sparkContext.broadcast(_bitmap(pairs))
-    longer = _counted(ids, filters, least, scratch, common)
+    longer = _counted(ids, levels, least, scratch, common)
     return pairs.unionByName(longer).drop("bit")
 
 
@@ -334,7 +376,10 @@ def _best(phrases: DataFrame, words: DataFrame, totals: DataFrame, top: int) ->
     placed = phrases.select("key", "a", "l", "r", "score", "key.*").join(first, "w1")
     order = [F.col("score").desc(), F.col("a").desc()]
     # All that may be among the first by score and count; texts are needed for these only.
-    placed = placed.withColumn("rank", F.rank().over(W.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
+    # They are looked for in parts of a language, then among what is left.
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(PARTS)))
+    for within in (["lang", "part"], ["lang"]):
+        placed = placed.withColumn("rank", F.rank().over(W.partitionBy(*within).orderBy(*order))).filter(F.col("rank") <= top)
     for i in range(2, LONGEST + 1):
         more = words.select(F.col("number").alias(f"w{i}"), F.col("word").alias(f"word{i}"))
         placed = placed.join(more, f"w{i}", "left")

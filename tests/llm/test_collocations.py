@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tagloom.llm import collocations as module
 from tagloom.llm.collocations import collocations
 from tagloom.llm.quotient import Packing, QuotientFilters, merged
 
@@ -71,6 +72,13 @@ def test_against_counting(spark, most_words):
     assert got == brute(rows, 10, 40, 80) and len({r[0] for r in got}) == 3
 
 
+def test_filters_dealt_twice(spark, monkeypatch):
+    monkeypatch.setattr(module, "BUCKET_WORDS", 4)
+    assert len(module._levels(Packing(60), 27_000)) == 2
+    rows = sample(2)
+    assert sorted(map(tuple, collocations(frame(spark, rows), 10, 40, 80).collect())) == brute(rows, 10, 40, 80)
+
+
 def test_empty(spark):
     assert collocations(frame(spark, [])).count() == 0
     assert collocations(frame(spark, [(None, None), ("few words", "en")])).count() == 0
