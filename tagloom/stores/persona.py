@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-import json
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.tags import merge_tag_lists, to_tags_id
 from tagloom.operators.merge import as_tag_lists, merge_with_store, one_row_per_user
 from tagloom.sources.spec import SEARCH_INDEX, search_index_options
-from tagloom.stores.hadoop import FileSystem
+from tagloom.stores.buckets import KEEP_HOURS, BucketStore
+from tagloom.stores.buckets import ConcurrentUpdate as ConcurrentUpdate
 
 SCHEMA = "userId string, tags array<string>"
 
 
-class ConcurrentUpdate(RuntimeError):
-    """Another writer committed a snapshot since this update began."""
-
-
 def checked_batch(batch: DataFrame) -> DataFrame:
     """Fail the write when a row has no user id, since it could not be keyed."""
     no_key = F.raise_error(F.lit("a persona row has no userId"))
@@ -27,58 +23,30 @@ def checked_batch(batch: DataFrame) -> DataFrame:
     return batch.select("userId", tags.alias("tags"))
 
 
-class SnapshotPersonaStore:
-    """Persona table as immutable parquet snapshots, bucketed by user id.
+class SnapshotPersonaStore(BucketStore):
+    """Persona table as immutable parquet files, bucketed by user id.
 
-    An update writes a new snapshot folder and then creates the next numbered commit file,
-    which names it. Readers use the highest commit, so they never see half a write, and
-    of two writers that started from one commit only the first succeeds. Buckets let the
-    update join the stored side, and write the next snapshot, without shuffling it; only
-    the batch of new tags moves.
+    An update reads and writes only the buckets of the batch's users; see ``BucketStore``
+    for versions, concurrent writers, and how long readers may go on.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, buckets: int | None = None, keep: int = 2
+        self,
+        spark: SparkSession,
+        root: str,
+        buckets: int | None = None,
+        keep: int | None = None,
+        keep_hours: float = KEEP_HOURS,
     ):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.keep = max(1, keep)
-        self._fs = FileSystem(spark, self.root)
-        self._new_buckets = buckets
-
-    @property
-    def _commit_folder(self) -> str:
-        return f"{self.root}/commits"
-
-    def versions(self) -> list[int]:
-        names = self._fs.names(self._commit_folder)
-        return [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0] != "."]
-
-    def _commit(self, version: int) -> dict | None:
-        """What a commit file says; None for one that a lost writer left unreadable."""
-        try:
-            return json.loads(self._fs.read_text(f"{self._commit_folder}/{version:09d}.json"))
-        except ValueError:
-            return None
-
-    def _current(self) -> dict | None:
-        """The newest commit that can be read."""
-        return next((c for v in reversed(self.versions()) if (c := self._commit(v))), None)
-
-    def read(self) -> DataFrame:
-        """``(userId, tags)`` of the current snapshot; empty when nothing is stored yet."""
-        commit = self._current()
-        return self._open(commit) if commit else self.spark.createDataFrame([], SCHEMA)
+        super().__init__(spark, root, SCHEMA, "userId", buckets, keep, keep_hours)
 
     def read_tags_id(self) -> DataFrame:
-        """The same with tags as comma-separated text, ``(userId, tagsId)``."""
+        """The current rows with tags as comma-separated text, ``(userId, tagsId)``."""
         return self.read().select("userId", to_tags_id(F.col("tags")).alias("tagsId"))
 
     def upsert(self, new: DataFrame) -> int:
         """Replace the tags of the users in ``new(userId, tagsId)``; keep everyone else."""
-        return self._update(
-            one_row_per_user(as_tag_lists(new)), lambda fresh, stored: fresh
-        )
+        return self._update(one_row_per_user(as_tag_lists(new)), lambda fresh, stored: fresh)
 
     def merge_upsert(self, new: DataFrame) -> int:
         """``merge_with_store`` followed by ``upsert``, in one join."""
@@ -88,82 +56,24 @@ class SnapshotPersonaStore:
         """``merge_upsert`` for ``(userId, tags)`` with one row per user."""
         return self._update(batch, merge_tag_lists)
 
-    def _update(self, batch: DataFrame, combine) -> int:
-        versions = self.versions()
-        base = versions[-1] if versions else 0
-        batch = checked_batch(batch)
-        commit = self._current()
-        buckets = commit["buckets"] if commit else self._new_buckets or self._shuffle_partitions()
-        if buckets != self._shuffle_partitions():
-            # Only the batch moves; Spark would else shuffle the stored side to its own count.
-            batch = batch.repartition(buckets, "userId")
-        if commit:
+    def merged(self, new: DataFrame) -> DataFrame:
+        """``merge_with_store`` of ``new(userId, tagsId)`` with this store, written nowhere.
+
+        Only the buckets of the batch's users are read."""
+        return merge_with_store(new, self.read_buckets_of(new.select(F.col("userId").cast("string"))).select(
+            "userId", to_tags_id(F.col("tags")).alias("tagsId")
+        ))
+
+    def _update(self, batch: DataFrame, tags: Callable[[Column, Column], Column]) -> int:
+        def combine(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
+            if stored is None:
+                return batch
             fresh = batch.select("userId", F.col("tags").alias("__new"), F.lit(True).alias("__in"))
-            stored = self._open(commit).withColumnRenamed("tags", "__old")
-            batch = fresh.join(stored, "userId", "full").select(
-                "userId",
-                F.when(F.col("__in"), combine(F.col("__new"), F.col("__old")))
-                .otherwise(F.col("__old"))
-                .alias("tags"),
-            )
-        return self._write(batch, base + 1, buckets)
-
-    def rebucket(self, buckets: int) -> int:
-        """Write the current snapshot anew with another number of buckets; moves it all."""
-        versions = self.versions()
-        return self._write(self.read().repartition(buckets, "userId"), versions[-1] + 1 if versions else 1, buckets)
-
-    def _shuffle_partitions(self) -> int:
-        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def _write(self, rows: DataFrame, version: int, buckets: int) -> int:
-        folder = f"snapshots/{version:09d}-{uuid.uuid4().hex}"
-        name = self._table_name()
-        (
-            rows.write.format("parquet")
-            .bucketBy(buckets, "userId")
-            .sortBy("userId")
-            .option("path", f"{self.root}/{folder}")
-            .saveAsTable(name)
-        )
-        self.spark.sql(f"DROP TABLE {name}")
-        commit = {"folder": folder, "buckets": buckets}
-        try:
-            self._fs.create_text(f"{self._commit_folder}/{version:09d}.json", json.dumps(commit))
-        except Exception as error:
-            if version in self.versions():
-                self._fs.delete(f"{self.root}/{folder}")
-                raise ConcurrentUpdate(f"version {version} was committed by another writer") from error
-            raise
-        self._prune()
-        return version
-
-    def _open(self, commit: dict) -> DataFrame:
-        """Snapshot as a bucketed relation.
-
-        Spark learns of buckets only through a table, so the folder is registered for the
-        moment it takes to resolve it. The table is external: dropping it leaves the files.
-        """
-        name = self._table_name()
-        location = f"{self.root}/{commit['folder']}".replace("'", "\\'")
-        self.spark.sql(
-            f"CREATE TABLE {name} ({SCHEMA}) USING parquet CLUSTERED BY (userId) "
-            f"SORTED BY (userId) INTO {commit['buckets']} BUCKETS LOCATION '{location}'"
-        )
-        snapshot = self.spark.table(name)
-        self.spark.sql(f"DROP TABLE {name}")
-        return snapshot
-
-    @staticmethod
-    def _table_name() -> str:
-        return f"persona_snapshot_{uuid.uuid4().hex}"
-
-    def _prune(self) -> None:
-        """Delete all but the last ``keep`` snapshots, data before commit file."""
-        for version in self.versions()[: -self.keep]:
-            if commit := self._commit(version):
-                self._fs.delete(f"{self.root}/{commit['folder']}")
-            self._fs.delete(f"{self._commit_folder}/{version:09d}.json")
+            both = fresh.join(stored.withColumnRenamed("tags", "__old"), "userId", "full")
+            merged = F.when(F.col("__in"), tags(F.col("__new"), F.col("__old")))
+            return both.select("userId", merged.otherwise(F.col("__old")).alias("tags"))
+
+        return self.update(checked_batch(batch), combine)
 
 
 # Write options of the search-index connector.

@@ -98,12 +98,95 @@ def test_update_does_not_shuffle_the_stored_side(spark, tmp_path):
         plan = plans[0]._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 1
+    # The batch was staged in the store's buckets, so that nothing is left to shuffle.
+    assert "Exchange" not in plan
     assert "Bucketed: true" in plan and "SelectedBucketsCount: 8 out of 8" in plan
     assert "Python" not in plan
     assert store.read().filter("cast(tags as string) = '[1, 2]'").count() == 5000
 
 
+def bucket_files(folder):
+    return sorted(int(f.name.split("_")[-1].split(".")[0]) for f in folder.iterdir() if f.name.endswith(".parquet"))
+
+
+def test_update_writes_and_reads_the_batch_buckets_only(spark, tmp_path):
+    store = SnapshotPersonaStore(spark, str(tmp_path / "p"), buckets=16)
+    store.upsert(batch(spark, [(str(i), "1") for i in range(1000)]))
+    one = batch(spark, [("7", "2")])
+    [bucket] = store._touched(one, 16)
+    opened = []
+    read = store._open
+    store._open = lambda commit, only=None: opened.append(read(commit, only)) or opened[-1]
+    store.merge_upsert(one)
+    assert {int(f.split("_")[-1].split(".")[0]) for f in opened[0].inputFiles()} == {bucket}
+    first, second = sorted((tmp_path / "p" / "snapshots").iterdir())
+    assert set(bucket_files(second)) == {bucket} and set(bucket_files(first)) == set(range(16))
+    # The old file of that bucket is still there for earlier readers, but not read any more.
+    assert content(store) == {str(i): "1,2" if i == 7 else "1" for i in range(1000)}
+    assert len(store.read().inputFiles()) == 16
+    opened.clear()
+    assert [tuple(r) for r in store.merged(batch(spark, [("7", "5"), ("7", "1")])).collect()] == [("7", "1,2,5")]
+    assert {int(f.split("_")[-1].split(".")[0]) for f in opened[0].inputFiles()} == {bucket}
+
+
+def test_many_small_updates_are_folded(spark, tmp_path, monkeypatch):
+    from tagloom.stores import buckets
+
+    monkeypatch.setattr(buckets, "MOST_FOLDERS", 3)
+    store = SnapshotPersonaStore(spark, str(tmp_path / "p"), buckets=16)
+    wanted = {str(i): "0" for i in range(100)}
+    store.upsert(batch(spark, list(wanted.items())))
+    for n in range(1, 9):
+        store.upsert(batch(spark, [(str(n), str(n))]))
+        wanted[str(n)] = str(n)
+        assert len(store._current()["folders"]) <= 3
+    assert content(store) == wanted
+    assert store.upsert(batch(spark, [])) == 10 and content(store) == wanted
+
+
+def test_reader_outlives_three_updates(spark, tmp_path):
+    store = SnapshotPersonaStore(spark, str(tmp_path / "p"))
+    store.upsert(batch(spark, [(str(i), "1") for i in range(20)]))
+    frame = store.read_tags_id()
+    for n in range(3):
+        store.upsert(batch(spark, [(str(i), str(n + 2)) for i in range(20)]))
+    assert {r["tagsId"] for r in frame.collect()} == {"1"}
+    # Once versions are too old, they go with all folders that no younger one needs.
+    short = SnapshotPersonaStore(spark, str(tmp_path / "p"), keep_hours=0.0)
+    short.upsert(batch(spark, [(str(i), "9") for i in range(20)]))
+    assert short.versions() == [5] and len(list((tmp_path / "p" / "snapshots").iterdir())) == 1
+
+
+def test_leased_version_stays(spark, tmp_path):
+    store = SnapshotPersonaStore(spark, str(tmp_path / "p"), keep=1)
+    with store.reading() as nothing:
+        assert nothing.count() == 0
+    store.upsert(batch(spark, [("1", "1")]))
+    with store.reading() as frame:
+        for n in range(3):
+            store.upsert(batch(spark, [("1", str(n + 2))]))
+        assert store.versions() == [1, 4]
+        assert [r["tags"] for r in frame.collect()] == [["1"]]
+    store.upsert(batch(spark, [("1", "8")]))
+    assert store.versions() == [5]
+    with store.reading(hours=-1.0):
+        store.upsert(batch(spark, [("1", "9")]))
+        assert store.versions() == [6]
+
+
+def test_commits_of_one_folder_are_read(spark, tmp_path):
+    import json
+
+    store = SnapshotPersonaStore(spark, str(tmp_path / "p"), buckets=4)
+    store.upsert(batch(spark, [(str(i), "1") for i in range(30)]))
+    path = tmp_path / "p" / "commits" / "000000001.json"
+    [folder] = json.loads(path.read_text())["folders"]
+    path.write_text(json.dumps({"folder": folder, "buckets": 4}))
+    (tmp_path / "p" / "commits" / ".000000001.json.crc").unlink(missing_ok=True)
+    store.merge_upsert(batch(spark, [("3", "2")]))
+    assert content(store) == {str(i): "1,2" if i == 3 else "1" for i in range(30)}
+
+
 def test_bucket_count_may_differ_from_shuffle_partitions(spark, tmp_path):
     store = SnapshotPersonaStore(spark, str(tmp_path / "p"), buckets=3)
     store.upsert(batch(spark, [(str(i), "1") for i in range(50)]))
