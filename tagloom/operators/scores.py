@@ -73,6 +73,30 @@ RFE_COLUMNS = ("recency", "frequency", "engagements")
 PSM_COLUMNS = ("psm",)
 
 
+def quantile_bands(
+    features: DataFrame, columns: dict[str, bool], scores: int = 5, accuracy: int = 100_000
+) -> dict[str, Bands]:
+    """Bands that deal the users of ``features`` evenly over the scores 1 to ``scores``.
+
+    ``columns`` says for each feature whether more of it is better. Cut points come from a
+    quantile sketch, all in one pass; with at most ``accuracy`` users they are exact, beyond
+    that off by at most one ``accuracy``-th of the ranks. Users with one value get one score,
+    so scores may be missing where values are few; nulls count in no band.
+    """
+    shares = [i / scores for i in range(1, scores)]
+    cuts = features.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), shares, accuracy).alias(c) for c in columns]
+    ).first()
+    bands = {}
+    for c, more_is_better in columns.items():
+        above = [
+            Band(i + 2 if more_is_better else scores - 1 - i, lo=cut, lo_open=True)
+            for i, cut in enumerate(cuts[c] or ())
+        ]
+        bands[c] = (*reversed(above), Band(1 if more_is_better else scores))
+    return bands
+
+
 def add_rfm_features(profile: DataFrame, as_of: AsOf) -> DataFrame:
     return profile.withColumns(
         {
@@ -93,6 +117,10 @@ def add_rfe_features(profile: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
+# The names of the four PSM features.
+PSM_FEATURES = ("tdon", "ton", "tda", "tra")
+
+
 def add_psm_features(profile: DataFrame) -> DataFrame:
     return profile.withColumns(
         {
@@ -117,7 +145,7 @@ def rfe_features(logs: DataFrame, as_of: AsOf, user_id: str = "global_user_id")
 def psm_features(orders: DataFrame, user_id: str = "memberid") -> DataFrame:
     """``(userId, tdon, ton, tda, tra)``: coupon orders, orders, coupon total, amount total."""
     return add_psm_features(order_totals(orders, user_id)).select(
-        "userId", "tdon", "ton", "tda", "tra"
+        "userId", *PSM_FEATURES
     )
 
 
@@ -137,7 +165,7 @@ def rfe_scores(features: DataFrame, bands: RfeBands = RfeBands()) -> DataFrame:
 
 def add_psm_score(features: DataFrame) -> DataFrame:
     """Add ``psm``, null where any divisor is zero or null."""
-    tdon, ton, tda, tra = (F.col(c) for c in ("tdon", "ton", "tda", "tra"))
+    tdon, ton, tda, tra = (F.col(c) for c in PSM_FEATURES)
     coupon_share = F.try_divide(tdon, ton)
     coupon_depth = F.try_divide(F.try_divide(tda, tdon), F.try_divide(tra, ton))
     amount_share = F.try_divide(tda, tra)

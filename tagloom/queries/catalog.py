@@ -32,6 +32,7 @@ from tagloom.sources.spec import SourceSpec, read_source
 from tagloom.stores.hadoop import scratch_folder
 from tagloom.stores.models import ModelStore
 from tagloom.stores.persona import SnapshotPersonaStore
+from tagloom.stores.profiles import LogProfileStore, OrderProfileStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -272,6 +273,26 @@ def persona_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_tags_id()
 
 
+def persona_merge_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``merge_new_with_store`` against a store, of which only the batch's buckets are read."""
+    store = new_store(spark)
+    store.upsert(stored_tags(spark, sf_dir))
+    return store.merged(new_tags(spark, sf_dir))
+
+
+def persona_two_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of more buckets than there are tasks, a small update of few buckets, and a
+    large one of all."""
+    store = SnapshotPersonaStore(spark, f"{scratch_folder(spark)}/persona", buckets=32)
+    store.upsert(stored_tags(spark, sf_dir))
+    urgent = standins.table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("userId"), F.lit("300").alias("tagsId")
+    )
+    store.merge_upsert(urgent)
+    store.merge_upsert(new_tags(spark, sf_dir))
+    return store.read_tags_id()
+
+
 # Statistics.
 
 
@@ -309,6 +330,24 @@ def order_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_profile_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_profile`` of orders that come in two batches, by time."""
+    store = OrderProfileStore(spark, f"{scratch_folder(spark)}/orders")
+    orders = standins.orders(spark, sf_dir)
+    early = F.col("finishtime") < 883612800  # 1998 began
+    store.add(orders.filter(early))
+    store.add(orders.filter(~early | F.col("finishtime").isNull()))
+    return store.profile().select(
+        "userId",
+        "payment",
+        "last_finish",
+        "orders",
+        F.round("amount", 2).alias("amount"),
+        "coupon_orders",
+        F.round("coupon_amount", 4).alias("coupon_amount"),
+    )
+
+
 # Features, scores and clusters.
 
 
@@ -339,6 +378,28 @@ def rfe_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.rfe_scores(rfe_features(spark, sf_dir))
 
 
+def rfe_scores_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bands from the visitors themselves, so that each score occurs. Each user's events are
+    those of six visitors, since a user is on the site nearly every day."""
+    features = scores.rfe_features(standins.logs(spark, sf_dir, visitors=6), EVENTS_AS_OF)
+    better = {"recency": False, "frequency": True, "engagements": True}
+    return scores.rfe_scores(features, scores.RfeBands(**scores.quantile_bands(features, better)))
+
+
+def rfe_features_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimated distinct pages, from logs added to a store in two batches, beside the exact
+    ones: whether they are within a tenth and one page."""
+    store = LogProfileStore(spark, f"{scratch_folder(spark)}/logs")
+    logs = standins.logs(spark, sf_dir)
+    odd = F.crc32("log_time") % 2 == 1
+    store.add(logs.filter(odd))
+    store.add(logs.filter(~odd))
+    estimated = scores.add_rfe_features(store.profile(), EVENTS_AS_OF)
+    exact = rfe_features(spark, sf_dir).select("userId", F.col("engagements").alias("exact"))
+    near = F.abs(F.col("engagements") - F.col("exact")) <= F.col("exact") / 10 + 1
+    return estimated.join(exact, "userId").select("userId", "recency", "frequency", near.alias("near"))
+
+
 def psm_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.psm_features(standins.orders(spark, sf_dir)).select(
         "userId", "tdon", "ton", F.round("tda", 4).alias("tda"), F.round("tra", 2).alias("tra")
@@ -499,18 +560,23 @@ QUERIES: dict[str, Query] = {
     "merge_new_with_store": merge_new_with_store,
     "persona_upsert": persona_upsert,
     "persona_merge_upsert": persona_merge_upsert,
+    "persona_merge_read": persona_merge_read,
+    "persona_two_updates": persona_two_updates,
     "persona_own_jobs": persona_own_jobs,
     "consumption_cycle": consumption_cycle,
     "payway_modal": payway_modal,
     "payway_modal_window": payway_modal_window,
     "payway_tags": payway_tags,
     "order_profile": order_profile,
+    "order_profile_incremental": order_profile_incremental,
     "rfm_features": rfm_features,
     "rfm_features_today": rfm_features_today,
     "rfm_scores": rfm_scores,
     "rfm_scores_quintile": rfm_scores_quintile,
     "rfe_features": rfe_features,
+    "rfe_features_approx": rfe_features_approx,
     "rfe_scores": rfe_scores,
+    "rfe_scores_quantile": rfe_scores_quantile,
     "psm_features": psm_features,
     "psm_score": psm_score,
     "nearest_centre_fixed": nearest_centre_fixed,

@@ -85,6 +85,10 @@ rfe AS (
          count(props) AS frequency, count(DISTINCT props) AS engagements
   FROM events GROUP BY user_id)"""
 
+VISITOR_FEATURES = RFE_FEATURES.replace("CAST(user_id AS VARCHAR)", "concat(user_id, '-', event_id % 6)").replace(
+    "GROUP BY user_id", "GROUP BY ALL"
+)
+
 RFM_SCORED = """
 SELECT userId,
   CASE WHEN recency >= 16 THEN 1 WHEN recency >= 10 THEN 2 WHEN recency >= 7 THEN 3
@@ -120,6 +124,15 @@ SELECT userId,
        WHEN engagements < 49 THEN 1 ELSE 0 END AS engagements
 FROM rfe"""
 
+RFE_QUANTILE = """
+cuts AS (SELECT quantile_disc(recency, [0.2, 0.4, 0.6, 0.8]) AS r, quantile_disc(frequency, [0.2, 0.4, 0.6, 0.8]) AS f,
+  quantile_disc(engagements, [0.2, 0.4, 0.6, 0.8]) AS e FROM rfe)
+SELECT userId,
+  CAST(CASE WHEN recency IS NULL THEN 0 ELSE 5 - len(list_filter(r, lambda c: recency > c)) END AS INTEGER) AS recency,
+  CAST(CASE WHEN frequency IS NULL THEN 0 ELSE 1 + len(list_filter(f, lambda c: frequency > c)) END AS INTEGER) AS frequency,
+  CAST(CASE WHEN engagements IS NULL THEN 0 ELSE 1 + len(list_filter(e, lambda c: engagements > c)) END AS INTEGER) AS engagements
+FROM rfe, cuts"""
+
 PSM_SCORE = """
 SELECT userId, round(CAST(tdon AS DOUBLE) / nullif(ton, 0)
              + (tda / nullif(tdon, 0)) / nullif(tra / nullif(ton, 0), 0)
@@ -284,6 +297,15 @@ FROM ({_equal(7, 'job')}) n JOIN users u ON CAST(u.id AS VARCHAR) = n.userId)"""
         "persona_merge_upsert": f"WITH {STORED}, {NEW} "
         f"SELECT coalesce(f.userId, s.userId) AS userId, {_merged('f.tagsId', 's.tagsId')} AS tagsId "
         "FROM fresh f FULL JOIN stored s ON s.userId = f.userId",
+        "persona_merge_read": f"WITH {STORED}, {NEW} "
+        f"SELECT f.userId, {_merged('f.tagsId', 's.tagsId')} AS tagsId "
+        "FROM fresh f LEFT JOIN stored s ON s.userId = f.userId",
+        "persona_two_updates": f"WITH {STORED}, {NEW}, "
+        "urgent AS (SELECT CAST(n_nationkey AS VARCHAR) AS userId, '300' AS tagsId FROM nation), "
+        f"early AS (SELECT coalesce(f.userId, s.userId) AS userId, {_merged('f.tagsId', 's.tagsId')} AS tagsId "
+        "FROM urgent f FULL JOIN stored s ON s.userId = f.userId) "
+        f"SELECT coalesce(f.userId, s.userId) AS userId, {_merged('f.tagsId', 's.tagsId')} AS tagsId "
+        "FROM fresh f FULL JOIN early s ON s.userId = f.userId",
         "consumption_cycle": f"WITH {rules} {CYCLE}",
         "payway_modal": f"WITH {MODAL} SELECT * FROM modal",
         "payway_modal_window": f"WITH {MODAL} SELECT * FROM modal",
@@ -293,6 +315,12 @@ SELECT o.memberid AS userId, min(m.paymentcode) AS payment, max(o.finishtime) AS
        count(o.ordersn) AS orders, round(sum(o.orderamount), 2) AS amount,
        CAST(sum(CASE WHEN o.couponcodevalue > 0 THEN 1 ELSE 0 END) AS BIGINT) AS coupon_orders,
        round(sum(o.couponcodevalue), 4) AS coupon_amount
+FROM order_rows o JOIN modal m ON m.memberid = o.memberid GROUP BY o.memberid""",
+        "order_profile_incremental": f"""WITH {ORDER_ROWS}, {MODAL}
+SELECT o.memberid AS userId, min(m.paymentcode) AS payment, max(o.finishtime) AS last_finish,
+       count(o.ordersn) AS orders, round(sum(o.orderamount), 2) AS amount,
+       CAST(sum(CASE WHEN o.couponcodevalue > 0 THEN 1 ELSE 0 END) AS BIGINT) AS coupon_orders,
+       round(sum(o.couponcodevalue), 4) AS coupon_amount
 FROM order_rows o JOIN modal m ON m.memberid = o.memberid GROUP BY o.memberid""",
         "rfm_features": f"WITH {RFM_FEATURES} SELECT * FROM rfm",
         "rfm_features_today": f"WITH {RFM_FEATURES.replace(f"DATE '{ORDERS_AS_OF}'", "current_date - 7")} "
@@ -300,6 +328,8 @@ FROM order_rows o JOIN modal m ON m.memberid = o.memberid GROUP BY o.memberid"""
         "rfm_scores": f"WITH {RFM_FEATURES} {RFM_SCORED}",
         "rfm_scores_quintile": f"WITH {RFM_FEATURES} {RFM_QUINTILE}",
         "rfe_features": f"WITH {RFE_FEATURES} SELECT * FROM rfe",
+        "rfe_features_approx": f"WITH {RFE_FEATURES} SELECT userId, recency, frequency, true AS near FROM rfe",
+        "rfe_scores_quantile": f"WITH {VISITOR_FEATURES}, {RFE_QUANTILE}",
         "rfe_scores": f"WITH {RFE_FEATURES} {RFE_SCORED}",
         "psm_features": f"""WITH {ORDER_ROWS}
 SELECT memberid AS userId,

@@ -72,6 +72,7 @@ RULES = [
 
 # Declared, so that opening a table takes no job to read its schema.
 SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
     "c_mktsegment string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
@@ -133,9 +134,13 @@ def orders(spark: SparkSession, sf_dir: str, coupons: bool = True) -> DataFrame:
     return base.join(discounts, "ordersn", "left")
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def logs(spark: SparkSession, sf_dir: str, visitors: int = 1) -> DataFrame:
+    """Page views. With more ``visitors`` each user's are dealt to so many visitors."""
+    user = F.col("user_id").cast("string")
+    if visitors > 1:
+        user = F.concat(user, F.lit("-"), (F.col("event_id") % visitors).cast("string"))
     return table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("global_user_id"),
+        user.alias("global_user_id"),
         F.col("props").alias("loc_url"),
         F.col("ts").cast("string").alias("log_time"),
     )

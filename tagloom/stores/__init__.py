@@ -1,6 +1,16 @@
-"""Persona and model stores."""
+"""Persona, profile and model stores."""
 
+from tagloom.stores.buckets import BucketStore, ConcurrentUpdate
 from tagloom.stores.models import ModelStore
-from tagloom.stores.persona import ConcurrentUpdate, IndexPersonaStore, SnapshotPersonaStore
+from tagloom.stores.persona import IndexPersonaStore, SnapshotPersonaStore
+from tagloom.stores.profiles import LogProfileStore, OrderProfileStore
 
-__all__ = ["ConcurrentUpdate", "IndexPersonaStore", "ModelStore", "SnapshotPersonaStore"]
+__all__ = [
+    "BucketStore",
+    "ConcurrentUpdate",
+    "IndexPersonaStore",
+    "LogProfileStore",
+    "ModelStore",
+    "OrderProfileStore",
+    "SnapshotPersonaStore",
+]

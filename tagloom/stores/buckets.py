@@ -151,7 +151,12 @@ class BucketStore:
             for folder, own in sorted(commit["folders"].items())
             if wanted.intersection(own)
         ]
-        return reduce(DataFrame.unionByName, parts) if parts else self._empty()
+        return reduce(DataFrame.unionByName, map(self._by_row, parts)) if parts else self._empty()
+
+    def _by_row(self, part: DataFrame) -> DataFrame:
+        """The same rows past a filter that all pass. Spark plans a union of equally bucketed
+        relations as bucketed itself, but would run one of plain columnar scans end to end."""
+        return part.filter(self.bucket(1 << 30) >= 0)
 
     def _bucketed(self, location: str, buckets: int, only: list[int]) -> DataFrame:
         """The named buckets of a folder.
@@ -172,29 +177,38 @@ class BucketStore:
         self.spark.sql(f"DROP TABLE {name}")
         return table
 
+    def _casts(self) -> list[Column]:
+        """The columns of the schema, by name, in its types."""
+        fields = self._empty().schema.fields
+        return [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields]
+
     @staticmethod
     def _table_name() -> str:
         return f"bucket_store_{uuid.uuid4().hex}"
 
     # Writing.
 
-    def update(self, batch: DataFrame, combine: Combine) -> int:
+    def update(self, batch: DataFrame, combine: Combine, dealt: bool = True) -> int:
         """Write ``combine(batch, stored)`` for the buckets that ``batch`` has keys of.
 
         ``combine`` gets the stored rows of these buckets and must give all rows they are to
-        hold from now on, with keys of these buckets only."""
+        hold from now on, with keys of these buckets only. A batch that comes from a grouping
+        by the key is ``dealt`` by it already, if there are as many buckets as shuffle
+        partitions; any other is shuffled first, so that each bucket is one file."""
         versions, commit = self.versions(), self._current()
         version = (versions[-1] if versions else 0) + 1
         if commit is None:
             buckets = self._new_buckets or self._shuffle_partitions()
-            if buckets != self._shuffle_partitions():
+            if not dealt or buckets != self._shuffle_partitions():
                 batch = batch.repartition(buckets, self.key)
             return self._write(combine(batch, None), version, buckets, {})
         buckets = commit["buckets"]
+        if not dealt or buckets != self._shuffle_partitions():
+            batch = batch.repartition(buckets, self.key)
         staging = scratch_folder(self.spark)
         try:
             self._write_bucketed(batch, f"{staging}/batch", buckets)
-            staged = self._staged(f"{staging}/batch", buckets, batch.schema)
+            staged = self._by_row(self._staged(f"{staging}/batch", buckets, batch.schema))
             touched = self._touched(staged, buckets)
             kept = self._without(commit["folders"], touched)
             if len(kept) >= MOST_FOLDERS:

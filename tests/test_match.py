@@ -142,3 +142,35 @@ def test_plans(spark):
     many = plan_of(match_range(users, F.col("k"), values(spark, [(1, "a-b")], small=False)))
     for plan in (equal, inline, many):
         assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_hot_keys_are_spread_without_copies(spark):
+    from tagloom.operators.lookup import hot_key_join, hot_keys, look_up
+
+    n = 9000
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise(F.col("id").cast("string"))
+    left = spark.range(n).select("id", key.alias("__key"))
+    rules = spark.range(n).select(F.col("id").cast("string").alias("__key"), (F.col("id") * 2).alias("v"))
+    rules = rules.unionByName(spark.createDataFrame([("hot", -1)], "`__key` string, v long"))
+    assert hot_keys(left, 16) == ["hot"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = hot_key_join(left, rules, "v")
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * n / 8
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Generate") == 0 and plan.count("BroadcastHashJoin") == 1
+        rows = joined.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert joined.columns == ["__key", "id", "v"] or set(joined.columns) == {"__key", "id", "v"}
+    wanted = {i: -1 if i % 3 == 0 else None if i % 3 == 1 else 2 * i for i in range(n)}
+    assert len(rows) == n and {r["id"]: r["v"] for r in rows} == wanted
+    # No rows, no keys, numbers as keys.
+    numbers = spark.createDataFrame([(1, "a"), (2, None)], "key long, value string")
+    frame = spark.createDataFrame([(1, 7), (1, 8), (None, 9), (3, 10)], "k long, row int")
+    found = look_up(frame, F.col("k"), numbers, "found", small=False).collect()
+    assert sorted((r["row"], r["found"]) for r in found) == [(7, "a"), (8, "a"), (9, None), (10, None)]
+    assert look_up(frame.limit(0), F.col("k"), numbers, "found", small=False).count() == 0

@@ -8,7 +8,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tagloom.queries.catalog import QUERIES
+from tagloom.queries.oracle import ORACLE_SQL
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -24,7 +26,7 @@ def duck():
     connection.close()
 
 
-SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def normal(rows, order):
@@ -36,14 +38,14 @@ def normal(rows, order):
     return sorted((tuple(cell(row[i]) for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_sql(spark, duck, name):
-    frame = queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     columns = sorted(frame.columns)
     found = [tuple(row) for row in frame.collect()]
-    described = duck.execute(f"DESCRIBE {oracle_sql()[name]}").fetchall()
+    described = duck.execute(f"DESCRIBE {ORACLE_SQL[name]}").fetchall()
     assert {row[0]: row[1] for row in described} == {c: SQL_TYPES[t] for c, t in frame.dtypes}
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLE_SQL[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     expected = cursor.fetchall()
@@ -52,13 +54,19 @@ def test_matches_sql(spark, duck, name):
     assert got
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_query_without_sql_tags_each_user_once(spark, name):
-    rows = queries()[name](spark, SF_DIR).collect()
+    rows = QUERIES[name](spark, SF_DIR).collect()
     assert rows
     assert len({row["userId"] for row in rows}) == len(rows)
 
 
+def test_every_score_occurs_with_bands_from_the_data(spark):
+    rows = QUERIES["rfe_scores_quantile"](spark, SF_DIR).collect()
+    for column in ("recency", "frequency", "engagements"):
+        assert {r[column] for r in rows} == {1, 2, 3, 4, 5}
+
+
 def test_entry(spark):
     frame = entry(spark)
     assert frame.columns == ["userId", "tagsId"]

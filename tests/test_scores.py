@@ -125,3 +125,55 @@ def test_distinct_count_spreads_a_hot_user(spark):
     plan = rfe_features(visits, "2024-01-02")._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 2 and "loc_url" in exchanges[1]
+
+
+TIMES = [
+    "2024-01-05 10:00:00", "2024-1-5 00:00", "2024-12-31", "", None, "zzz", "2024-09-30T", "é024-01-01x", "日本語日本語日本語日本語", "2024",
+]
+
+
+def test_latest_day_needs_no_sort(spark):
+    from tagloom.operators.profiles import log_profile, text_of_order, text_order
+
+    rows = [(str(i % 4), t, f"u{i % 3}") for i, t in enumerate(TIMES * 3)]
+    logs = spark.createDataFrame(rows, "global_user_id string, log_time string, loc_url string")
+    plain = logs.groupBy(F.col("global_user_id").alias("userId")).agg(F.max(F.substring("log_time", 1, 10)).alias("day"))
+    both = rfe_features(logs, "2025-01-01").join(plain, "userId").withColumn("wanted", recency_days(text_day(F.col("day")), "2025-01-01"))
+    assert [r for r in both.collect() if r["recency"] != r["wanted"]] == [] and both.count() == 4
+    plan = rfe_features(logs, "2025-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    ascii_days = [t[:10] for t in TIMES if t is not None and t.isascii()]
+    frame = spark.createDataFrame([(t,) for t in ascii_days], "t string").select("t", text_order(F.col("t")).alias("n"))
+    back = frame.select("t", "n", text_of_order(F.col("n")).alias("back")).collect()
+    assert all(r["t"] == r["back"] for r in back)
+    assert [r["t"] for r in sorted(back, key=lambda r: r["n"])] == sorted(ascii_days)
+    assert log_profile(logs.limit(0)).count() == 0
+
+
+def test_estimated_pages_and_united_logs(spark):
+    from tagloom.operators.profiles import log_profile, log_state, profile_of_log_state, unite_log_states
+
+    logs = spark.range(6000).select(
+        (F.col("id") % 3).cast("string").alias("global_user_id"),
+        F.concat(F.lit("2024-01-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0")).alias("log_time"),
+        F.when(F.col("id") % 50 > 0, (F.col("id") % 2000).cast("string")).alias("loc_url"),
+    )
+    exact = {r["userId"]: r for r in log_profile(logs).collect()}
+    parts = [log_state(logs.filter(F.col("log_time") < "2024-01-15")), log_state(logs.filter(F.col("log_time") >= "2024-01-10"))]
+    for found in (log_profile(logs, approx=True), profile_of_log_state(unite_log_states(*parts))):
+        for r in found.collect():
+            wanted = exact[r["userId"]]
+            assert r["last_log"] == wanted["last_log"] and abs(r["pages"] - wanted["pages"]) <= wanted["pages"] / 10
+
+
+def test_quantile_bands(spark):
+    frame = spark.createDataFrame([(float(i), 7, None) for i in range(100)], "a double, b int, c double")
+    bands = scores.quantile_bands(frame, {"a": True, "b": True, "c": False})
+    scored = frame.select(*[score_bands(c, bands[c]).alias(c) for c in "abc"]).collect()
+    counts = [sum(r["a"] == s for r in scored) for s in range(1, 6)]
+    assert counts == [20, 20, 20, 20, 20]
+    assert {r["b"] for r in scored} == {1} and {r["c"] for r in scored} == {0}
+    down = scores.quantile_bands(frame, {"a": False})["a"]
+    first = frame.orderBy("a").select(score_bands("a", down).alias("s")).first()
+    assert first["s"] == 5
+    assert scores.quantile_bands(frame.limit(0), {"a": True})["a"]

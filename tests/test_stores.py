@@ -292,3 +292,50 @@ def test_scratch_of_a_run_is_freed(spark, tmp_path):
     except RuntimeError:
         pass
     assert set(os.listdir(before)) == folders
+
+
+def test_profiles_grow_with_the_orders(spark, tmp_path):
+    from tagloom.operators.profiles import order_profile
+    from tagloom.stores import OrderProfileStore
+
+    orders = spark.range(3000).select(
+        F.when(F.col("id") % 97 > 0, (F.col("id") % 53).cast("string")).alias("memberid"),
+        F.col("id").alias("ordersn"),
+        F.when(F.col("id") % 11 > 0, F.concat(F.lit("p"), (F.col("id") % 5).cast("string"))).alias("paymentcode"),
+        (F.col("id") % 100).cast("string").alias("finishtime"),
+        (F.col("id") / 7).alias("orderamount"),
+        F.when(F.col("id") % 3 == 0, F.col("id") / 3).alias("couponcodevalue"),
+    )
+    store = OrderProfileStore(spark, str(tmp_path / "o"), buckets=16)
+    assert store.profile().count() == 0
+    for part in range(3):
+        store.add(orders.filter(F.col("ordersn") % 3 == part))
+    one = store.add(orders.filter("memberid = '7'").limit(0))
+    assert one == 4
+    wanted = sorted(map(tuple, order_profile(orders).collect()), key=repr)
+    assert sorted(map(tuple, store.profile().select(*order_profile(orders).columns).collect()), key=repr) == wanted
+    [bucket] = store._touched(orders.filter("memberid = '7'").select(F.col("memberid").alias("userId")), 16)
+    store.add(orders.filter("memberid = '7'").limit(5))
+    newest = max((tmp_path / "o" / "snapshots").iterdir())
+    assert set(bucket_files(newest)) == {bucket}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_buckets_in_several_folders_are_grouped_and_joined(spark, tmp_path, adaptive):
+    store = SnapshotPersonaStore(spark, str(tmp_path / "p"), buckets=16)
+    store.upsert(batch(spark, [(str(i), "1") for i in range(1000)]))
+    store.upsert(batch(spark, [(str(i), "2") for i in range(3)]))
+    rows = store.read()
+    others = spark.range(1000).select(F.col("id").cast("string").alias("userId"), F.lit(1).alias("x"))
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        twice = rows.unionByName(rows).groupBy("userId").count()
+        assert twice.count() == 1000 and twice.filter("count <> 2").count() == 0
+        assert rows.groupBy("userId").count().count() == 1000
+        joined = rows.join(others, "userId", "full")
+        assert joined.count() == 1000 and joined.filter("x IS NULL OR tags IS NULL").count() == 0
+        assert rows.select("userId").join(others, "userId").count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
