@@ -18,7 +18,7 @@ ORDER_STATE = (
     "userId string, payment string, uses bigint, last_finish bigint, orders bigint, "
     "amount decimal(38,8), coupon_orders bigint, coupon_amount decimal(38,8)"
 )
-LOG_STATE = "userId string, last_log decimal(38,0), views bigint, pages binary"
+LOG_STATE = "userId string, last_day int, last_odd decimal(38,0), views bigint, pages binary"
 
 
 class OrderProfileStore(BucketStore):
