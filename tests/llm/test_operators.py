@@ -144,6 +144,40 @@ def test_one_of_each_keeps_clean_documents(spark):
     assert kept == [-1, 1, 2, 3, 4, 5, 6]
 
 
+def test_rows_of_one_doc_id_are_told_apart(spark):
+    base = [f"w{i}" for i in range(40)]
+    near = " ".join([*base[:39], "other"])
+    rows = [(3, " ".join(base), "a"), (7, near, "a"), (7, "an unrelated text that has words of its own", "b")]
+    rows += [(7, "an unrelated text that has words of its own", "c"), (9, "an unrelated text that has words of its own", "c")]
+    kept = one_of_each(docs(spark, rows))
+    assert sorted((r["doc_id"], r["text"][:4]) for r in kept.collect()) == [(3, "w0 w"), (7, "an u")]
+    assert kept.columns == docs(spark, rows).columns
+    # As documents they are one component, through either text of doc 7.
+    found = near_duplicates(docs(spark, rows)).collect()
+    assert {r["component_id"] for r in found} == {3} and len(found) == 5
+
+
+def test_exact_comparison_in_blocks(monkeypatch):
+    from tagloom.llm import chosen_path
+
+    monkeypatch.setattr(chosen_path, "BLOCK", 7)
+    monkeypatch.setattr(chosen_path, "COLUMNS", 16)
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 40)
+    sets = [np.unique(np.r_[rng.permutation(base)[: 30 + k % 11], rng.integers(0, 2**63, k % 5)]) for k in range(30)]
+    component = np.array([k % 9 if k < 12 else 100 + k for k in range(30)])
+    found = chosen_path._Exact(80).links(np.arange(30), component, sets)
+    low = component.copy()
+    for a, b in found:
+        both = len(np.intersect1d(sets[a], sets[b]))
+        assert 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and low[a] != low[b]
+        low[low == low[b]] = low[a]
+    for a in range(30):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            assert low[a] == low[b] or 100 * both < 80 * (len(sets[a]) + len(sets[b]) - both)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(20, 40)] + [(5, 5)]
     frame = spark.createDataFrame(edges, "a long, b long")
