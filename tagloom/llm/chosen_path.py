@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -398,30 +399,28 @@ class ChosenPathJoin:
             coordinate = F.pmod(path, F.lit(COORDINATES)).cast("int")
             rows = rows.withColumn(f"k{level}", F.xxhash64(path, F.substring(F.col("low"), coordinate * 2 + 1, F.lit(2))))
             path = F.col(f"k{level}")
-        rows = rows.drop("low")
-        within, ends = rows.withColumn("node", F.lit(None).cast("long")).withColumn("parts", F.lit(None).cast("long")), None
+        rows, ends = rows.drop("low"), []
+
+        def ended(rows: DataFrame, key: str, parts):
+            origin, part = F.col(key), F.pmod(F.xxhash64("rep", "tree"), parts)
+            node = F.when(parts > 1, F.xxhash64(origin, part)).otherwise(origin)
+            return rows.select(node.alias("node"), origin.alias("origin"), "rep", "n", "sketch", parts.alias("parts"))
+
+        # Only the rows of large nodes go on to the next level.
         for level in range(1, self.levels + 1):
-            key = f"k{level}"
-            large = (
-                within.filter("node IS NULL").groupBy(key).agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") > self.small_node)
-            )
+            key, one = f"k{level}", F.lit(1).cast("long")
+            large = rows.groupBy(key).agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") > self.small_node)
             large = scratch.small_side(large)
-            within = within.join(large, key, "left").withColumn(
-                "node", F.coalesce("node", F.when(F.col("sets").isNull(), F.col(key)))
-            )
+            if large.isEmpty():
+                ends.append(ended(rows, key, one))
+                break
             if level == self.levels:
-                within = within.withColumn("parts", F.when(F.col("node").isNull(), F.ceil(F.col("sets") / self.small_node)))
-            within = within.drop("sets")
-        last = F.col(f"k{self.levels}")
-        part = F.pmod(F.xxhash64("rep", "tree"), "parts")
-        return within.select(
-            F.coalesce("node", F.xxhash64(last, part)).alias("node"),
-            F.coalesce("node", last).alias("origin"),
-            "rep",
-            "n",
-            "sketch",
-            F.coalesce("parts", F.lit(1)).alias("parts"),
-        )
+                parts = F.coalesce(F.ceil(F.col("sets") / self.small_node), one)
+                ends.append(ended(rows.join(large, key, "left"), key, parts))
+                break
+            ends.append(ended(rows.join(large, key, "left_anti"), key, one))
+            rows = scratch.write(rows.join(large, key, "left_semi"))
+        return reduce(DataFrame.unionByName, ends)
 
     def _across(self, members: DataFrame, unfinished: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFrame:
         """The rows of unfinished nodes that hold more than one component.

@@ -220,7 +220,8 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Gam:
     """Fit on at most ``rows`` labelled documents, the first by a hash of doc_id; only their
-    features come to the driver. Held-out documents are never among them."""
+    features come to the driver. Held-out documents are never among them. Of rows that share
+    a doc_id the one with the least features counts."""
     marks = (
         labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -229,7 +230,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Gam
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty(F.col("text")).alias("text"))
     sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
-    found = sample.mapInArrow(_measured, "doc_id long, quality int, x array<double>").collect()
+    measured = sample.mapInArrow(_measured, "doc_id long, quality int, x array<double>")
+    # One row for each chosen doc_id, however often it is repeated.
+    found = measured.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect()
     found = sorted((r["doc_id"], r["quality"], *r["x"]) for r in found)
     return fit([r[2:] for r in found], [r[1] for r in found])
 

@@ -79,16 +79,19 @@ FROM placed WHERE pass < whole OR start < rest
 
 OP5 = r"""
 WITH calls AS (SELECT conv_id, turn, role, text FROM conversations WHERE role IS DISTINCT FROM 'assistant'),
-results AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content FROM conversations
-  WHERE role = 'assistant' GROUP BY 1, 2),
+results AS (SELECT conv_id, turn - 1 AS turn, list(text ORDER BY text) FILTER (text IS NOT NULL) AS contents, true AS there
+  FROM conversations WHERE role = 'assistant' GROUP BY 1, 2),
 chains AS (SELECT conv_id, turn, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island
   FROM (SELECT DISTINCT conv_id, turn FROM calls)),
 levels AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS level FROM chains)
-SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS call_id, level::BIGINT AS level, content IS NOT NULL AS linked,
-  role IN ('system', 'user') AND length(text) > 0 AS valid,
-  '{"arguments":{' || coalesce('"text":' || to_json(text), '') || '},"id":"' || conv_id || ':' || turn || '"'
-    || coalesce(',"name":' || to_json(role), '') || coalesce(',"result":' || to_json(content), '') || '}' AS message
-FROM calls JOIN levels USING (conv_id, turn) LEFT JOIN results USING (conv_id, turn)
+SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS call_id, level::BIGINT AS level,
+  called IS NOT NULL AND there IS NOT NULL AS linked,
+  called IS NOT NULL AND coalesce(role IN ('system', 'user') AND length(text) > 0, false) AS valid,
+  '{' || CASE WHEN called THEN '"arguments":{' || coalesce('"text":' || to_json(text), '') || '},' ELSE '' END
+    || '"id":"' || conv_id || ':' || turn || '"' || coalesce(',"name":' || to_json(role), '')
+    || CASE WHEN len(contents) = 1 THEN ',"result":' || to_json(contents[1]) WHEN len(contents) > 1
+      THEN ',"result":' || to_json(contents) ELSE '' END || '}' AS message
+FROM (SELECT *, true AS called FROM calls) FULL JOIN results USING (conv_id, turn) LEFT JOIN levels USING (conv_id, turn)
 """
 
 OP8 = r"""

@@ -84,12 +84,14 @@ def levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
-    """``(conv_id, call_id, level, linked, valid, message)``, a row for each call.
+    """``(conv_id, call_id, level, linked, valid, message)``, a row for each call, and one for
+    each identifier that has results only.
 
     ``calls`` has conv_id, call_id, after_id, name and arguments (JSON text); ``results``
     has conv_id, call_id and content. A call meets the result with its identifier in its
-    conversation; of repeated results the smallest content counts, and results without a
-    call go. ``level`` orders a conversation's calls so that each comes after the one it
+    conversation. Several results with one identifier are a sorted array of their contents;
+    results without a call are a message without name and arguments, neither linked nor
+    valid. ``level`` orders a conversation's calls so that each comes after the one it
     waits for. ``message`` is canonical JSON; arguments that are no JSON are left out.
 
     A call without conv_id or call_id keeps a row, without level and result. Repeated calls
@@ -99,9 +101,14 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
     scratch = Scratch(calls)
     key = ["conv_id", "call_id"]
     calls = calls.select(*key, "after_id", "name", "arguments")
-    found = results.groupBy(*key).agg(F.min("content").alias("content"), F.lit(True).alias("linked"))
+    texts = F.array_sort(F.collect_list("content"))
+    one = F.when(F.size("contents") == 1, F.get("contents", F.lit(0)).cast("variant"))
+    several = F.when(F.size("contents") > 1, F.to_variant_object("contents"))
+    found = results.groupBy(*key).agg(texts.alias("contents"), F.lit(True).alias("linked"))
+    found = found.select(*key, F.coalesce(one, several).alias("content"), "linked")
     ordered = levels(calls, scratch)
-    joined = calls.join(found, key, "left").join(ordered, key, "left")
+    joined = calls.withColumn("called", F.lit(True)).join(found, key, "full").join(ordered, key, "left")
+    called = F.col("called").isNotNull()
     message = canonical(
         {
             "arguments": F.try_parse_json("arguments"),
@@ -113,8 +120,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
     return joined.select(
         *key,
         "level",
-        F.coalesce("linked", F.lit(False)).alias("linked"),
-        is_valid(F.col("name"), F.col("arguments"), schemas).alias("valid"),
+        (called & F.coalesce("linked", F.lit(False))).alias("linked"),
+        (called & is_valid(F.col("name"), F.col("arguments"), schemas)).alias("valid"),
         message.alias("message"),
     )
 

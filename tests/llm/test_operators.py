@@ -241,7 +241,10 @@ def test_calls_are_linked_ordered_and_checked(spark):
     found = {(r["conv_id"], r["call_id"]): r for r in link_calls(calls, results, schemas).collect()}
     assert [found[1, i]["level"] for i in (1, 2, 3, 8, 9)] == [0, 1, 2, None, None]
     assert [found[1, i]["valid"] for i in (1, 2, 3, 8, 9)] == [True, False, False, True, False]
-    assert found[1, 1]["message"] == '{"arguments":{"a":"x","b":2},"id":"1:1","name":"add","result":"q"}'
+    assert found[1, 1]["message"] == '{"arguments":{"a":"x","b":2},"id":"1:1","name":"add","result":["q","z"]}'
+    # A result that nobody called for is not lost.
+    assert (found[2, 1]["linked"], found[2, 1]["valid"]) == (False, False)
+    assert found[2, 1]["message"] == '{"id":"2:1","result":"lost"}' and len(found) == 7
     assert found[None, 1]["level"] is None and not found[None, 1]["linked"]
 
 
