@@ -27,7 +27,7 @@ KINDS = tuple(PATTERNS)
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"\p{L}++"
 OUTSIDE = r"(?<![\p{L}\x00])\p{L}++(?!\x00)"  # words that touch no address, each replaced by a zero
-MIN_TEXTS = 3  # different texts in which a word and an entity must meet
+MIN_TEXTS = 3  # different texts in which a word and an entity must meet, unless the word is found with the entity only
 GENERALISE, REMOVE = 0.8, 0.95
 BLOCK = 256
 
@@ -125,73 +125,97 @@ def _entity(span: Column) -> Column:
 def _terms(text: Column) -> Column:
     """The distinct words outside addresses, hashed."""
     outside = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, PATTERNS["email"], "\0")).otherwise(text)
-    words = F.regexp_extract_all(F.lower(outside), F.lit(OUTSIDE), 0)
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(F.regexp_extract_all(outside, F.lit(OUTSIDE), 0), _term))
+
+
+def _term(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
 
 
 def _disclosing(spans: DataFrame, scratch: Scratch) -> DataFrame:
     """``(term, kind)`` of words that reveal too much of an entity, by the rows of ``spans``."""
-    rows = spans.select("text_id", F.array_distinct(F.transform("spans", _entity)).alias("entities"), "words")
-    rows = rows.filter(F.size("entities") > 0).select("text_id", F.explode("entities").alias("entity"), "words")
-    entities = scratch.small_side(
-        rows.groupBy("entity", "text_id")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("entity")
-        .agg(F.sum("rows").alias("of_entity"), F.count(F.lit(1)).alias("texts"))
-        .filter(F.col("texts") >= MIN_TEXTS)
-        .drop("texts")
-    )
     n = float(spans.count())
-    most = entities.agg(F.max("of_entity")).first()[0] or 0
+    texts = scratch.write(
+        spans.filter(F.size("spans") > 0)
+        .groupBy("text_id")
+        .agg(F.count(F.lit(1)).alias("rows"), F.first("spans").alias("spans"), F.first("words").alias("words"))
+        .select("text_id", "rows", F.array_distinct(F.transform("spans", _entity)).alias("entities"), "words")
+    )
+    places = texts.select("text_id", "rows", F.explode("entities").alias("entity"))
+    # Entities that stand in the same texts meet the same words as often, so one of them is
+    # enough: a log of many addresses costs its words once, not once for each address.
+    standing = scratch.small_side(
+        places.groupBy("entity")
+        .agg(
+            F.sum("rows").alias("of_entity"),
+            F.bit_xor(F.xxhash64("text_id")).alias("same"),
+            F.bit_xor(F.xxhash64("text_id", F.lit(1))).alias("texts"),
+        )
+        .groupBy("of_entity", "same", "texts")
+        .agg(F.min("entity").alias("entity"))
+        .select("entity", "of_entity")
+    )
+    most = standing.agg(F.max("of_entity")).first()[0] or 0
 
     # A share of GENERALISE needs of_term <= both * (n / of_entity) ** (1 - GENERALISE), and
-    # both is of_entity at most; words beyond that are left out before anything is joined.
+    # both is of_entity at most; words beyond that cannot disclose.
     def limit(of_entity):
         return of_entity**GENERALISE * n ** (1 - GENERALISE) * (1 + 1e-9)
 
-    terms = scratch.small_side(
+    terms = (
         spans.select(F.explode("words").alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("of_term"))
-        .filter((F.col("of_term") >= MIN_TEXTS) & (F.col("of_term") <= limit(most)))
+        .filter(F.col("of_term") <= limit(most))
     )
     together = (
-        rows.join(entities, "entity")
-        .select("text_id", "entity", "of_entity", F.explode("words").alias("term"))
+        places.join(standing, "entity")
+        .join(texts.select("text_id", "words"), "text_id")
+        .select("entity", "of_entity", "rows", F.explode("words").alias("term"))
+        .groupBy("entity", "of_entity", "term")
+        .agg(F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts"))
         .join(terms, "term")
         .filter(F.col("of_term") <= limit(F.col("of_entity")))
-        .groupBy("entity", "term", "of_entity", "of_term", "text_id")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("entity", "term", "of_entity", "of_term")
-        .agg(F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts"))
-        .filter(F.col("texts") >= MIN_TEXTS)
     )
     information = -F.ln(F.col("of_entity") / n)
     mutual = F.ln(F.col("both") * n / (F.col("of_entity") * F.col("of_term")))
     share = F.when(information > 0, mutual / information)
+    often, certain = F.col("texts") >= MIN_TEXTS, F.col("both") == F.col("of_term")
     return (
         together.withColumn("share", share)
-        .filter(F.col("share") >= GENERALISE)
+        .filter((F.col("share") >= GENERALISE) & (often | certain))
         .groupBy("term")
-        .agg(F.when(F.max("share") >= REMOVE, "remove").otherwise("generalise").alias("kind"))
+        .agg(F.when(F.max(F.when(often, F.col("share"))) >= REMOVE, "remove").otherwise("generalise").alias("kind"))
     )
 
 
 def _marked(keyed: DataFrame, spans: DataFrame, disclosing: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(doc_id, text_id, start, end, kind)``: every place of a disclosing word, in all texts."""
+    """``(doc_id, text_id, start, end, kind)``: every place of a disclosing word, in all texts.
+
+    Only a document's own disclosing words are located in it, by a pattern of these words.
+    """
     document = ["doc_id", "text_id"]
     key = F.coalesce("doc_id", F.lit(-1)).alias("doc_id")
     disclosing = scratch.small_side(disclosing)
-    having = scratch.small_side(
-        spans.select(key, "text_id", F.explode("words").alias("term")).join(disclosing, "term").select(*document).distinct()
+    having = scratch.write(
+        spans.select(key, "text_id", F.explode("words").alias("term"))
+        .join(disclosing, "term")
+        .groupBy(*document)
+        .agg(F.collect_set("term").alias("own"))
+    )
+    text, pattern = F.col("text"), F.col("pattern")
+    written = F.filter(
+        F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), 0)), lambda w: F.array_contains("own", _term(w))
     )
-    text = F.col("text")
-    words = _located(F.regexp_extract_all(text, F.lit(TERM), 0), F.split(text, TERM, -1))
+    alone = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(written, "|"), F.lit(r")(?!\p{L})"))
+    matches = F.regexp_extract_all(text, pattern, F.lit(0))
     return (
         keyed.select(key, "text_id", "text")
-        .join(having, document, "left_semi")
-        .select(*document, F.explode(words).alias("w"))
-        .select(*document, F.xxhash64(F.lower("w.value")).alias("term"), "w.start", (F.col("w.start") + F.length("w.value")).alias("end"))
+        .join(having, document)
+        .select(*document, "text", alone.alias("pattern"))
+        .select(*document, matches.alias("matches"), F.split(text, pattern, -1).alias("pieces"))
+        .select(*document, F.explode(_located(F.col("matches"), F.col("pieces"))).alias("w"))
+        .select(*document, _term(F.col("w.value")).alias("term"), "w.start", (F.col("w.start") + F.length("w.value")).alias("end"))
         .join(disclosing, "term")
         .select(*document, "start", "end", "kind")
         .distinct()
@@ -251,10 +275,12 @@ def personal_data(docs: DataFrame) -> DataFrame:
     Base spans are the leftmost non-overlapping matches of each kind that pass its test;
     kinds may overlap each other. The method adds spans of kind ``generalise`` and
     ``remove``: words whose mutual information with an entity, over the rows of the whole
-    table, is at least 0.8 or 0.95 of the entity's information, and that are in the same
-    document in at least ``MIN_TEXTS`` different texts. The largest share over all entities
-    counts. Such a word is marked wherever it touches no base span, at any distance from an
-    entity and in documents without one as well.
+    table, is at least 0.8 or 0.95 of the entity's information. A share is trusted if both
+    meet in at least ``MIN_TEXTS`` different texts. With fewer, as for an entity of a single
+    text, only a word that is in no document without the entity counts: it gives the entity
+    away for certain, and is generalised. The largest share over all entities counts. Such a
+    word is marked wherever it touches no base span, at any distance from an entity and in
+    documents without one as well.
 
     Positions are code points, ends exclusive. A null text counts as empty. Rows without a
     doc_id are handled like others and told apart by text. Repeated rows have the same

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tagloom.llm import packing
@@ -96,6 +97,62 @@ def test_disclosing_words_are_marked_in_every_text(spark):
     assert clean[5] == "so [word] called, and [word] with [word]" and clean[6] == rows[4][1]
 
 
+def test_spans_against_a_plain_reading(spark):
+    """Base spans and marked words of texts with rare entities, worked out pair by pair."""
+    rng = random.Random(3)
+    vocabulary = [f"{a}{b}" for a in "klmnprst" for b in ("a", "e", "io", "Ū", "ß")] + ["ΟΔΟΣ", "İs", "𝒜b", "Zoë"]
+    texts = []
+    for i in range(90):
+        words = rng.choices(vocabulary, [1 / (1 + j) for j in range(len(vocabulary))], k=rng.randrange(0, 40))
+        if i % 5 == 0:
+            entity = rng.choice(["a.b@c.example", f"u{i}@c.example", "10.1.2.3", "+1 (555) 010-2000"])
+            words.insert(rng.randrange(len(words) + 1), entity)
+            words.insert(rng.randrange(len(words) + 1), {"10.1.2.3": "Ödön", "a.b@c.example": "İs"}.get(entity, f"Only{chr(97 + i // 5)}"))
+        texts.append(" ".join(words).replace(" ta ", ". Ta-"))
+    texts += [texts[0]] * 3 + [" ".join(f"z{i}@d.example" for i in range(60)) + " Solo", None, "", "only" * 5000]
+    rows = [(i, t, "a") for i, t in enumerate(texts)] + [(None, texts[5], "a")]
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+){3}",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }  # no card in these texts
+
+    def base(text):
+        return sorted((m.start(), list(plain).index(k), k, m.end(), m[0]) for k, p in plain.items() for m in re.finditer(p, text))
+
+    def words(text):
+        return [(m.start(), m.end(), m[0].lower()) for m in regex.finditer(r"\p{L}+", text)]
+
+    read = [(i, t or "") for i, t, _ in rows]
+    spans = [base(t) for _, t in read]
+    entities = [{(s[2], re.sub("[^0-9]", "", s[4]) if s[2] == "phone" else s[4].lower()) for s in b} for b in spans]
+    clear = [
+        {w for a, b, w in words(t) if not any(a <= s[3] and b >= s[0] for s in spans[i] if s[2] == "email")}
+        for i, (_, t) in enumerate(read)
+    ]
+    n, kinds = len(read), {}
+    for e in set().union(*entities):
+        of_e = [i for i in range(n) if e in entities[i]]
+        for w in set().union(*(clear[i] for i in of_e)):
+            of_w = [i for i in range(n) if w in clear[i]]
+            both = [i for i in of_e if w in clear[i]]
+            often = len({read[i][1] for i in both}) >= 3
+            share = np.log(len(both) * n / (len(of_e) * len(of_w))) / np.log(n / len(of_e))
+            if share >= 0.8 and (often or len(both) == len(of_w)):
+                kinds[w] = max(kinds.get(w, ""), "remove" if often and share >= 0.95 else "generalise")
+    want = []
+    for i, (doc_id, text) in enumerate(read):
+        extra = [
+            (a, 9, kinds[w], b) for a, b, w in words(text)
+            if w in kinds and all(b <= s[0] or a >= s[3] for s in spans[i])
+        ]
+        every = sorted([s[:4] for s in spans[i]] + extra)
+        want.append((doc_id, ",".join(f"{k}:{a}:{b}" for a, _, k, b in every)))
+    got = [(r["doc_id"], r["spans"]) for r in personal_data(docs(spark, rows)).collect()]
+    order = lambda pair: (pair[0] is None, pair[0] or 0)
+    assert sorted(got, key=order) == sorted(want, key=order)
+    assert sum("generalise" in s for _, s in got) > 1 and sum("remove" in s for _, s in got) > 1
+
+
 def jaccard(a, b, width):
     def grams(t):
         w = t.lower().split()
