@@ -14,7 +14,7 @@ from tagloom.operators import (
 )
 from tagloom.operators.clusters import NothingToCluster
 from tagloom.sources import TagValues
-from tagloom.stores import ModelStore
+from tagloom.stores import ConcurrentUpdate, ModelStore
 
 COLUMNS = ["r", "f", "m"]
 
@@ -106,3 +106,43 @@ def test_model_store_keeps_the_first_of_two_fits(spark, points, tmp_path):
         return fit_clusters(points, COLUMNS, k=3, seed=1)
 
     assert len(models.fit_or_load("m", fit).clusterCenters()) == 2
+
+
+def test_model_versions(spark, points, tmp_path):
+    models = ModelStore(spark, str(tmp_path))
+    for k in (2, 3, 4):
+        models.refit("m", lambda: fit_clusters(points, COLUMNS, k=k, seed=1))
+    assert models.versions("m") == [1, 2, 3] and models.latest("other") is None
+    assert [len(models.load("m", v).clusterCenters()) for v in (1, 2, 3, None)] == [2, 3, 4, 4]
+    models.drop_before("m", 9)
+    assert models.versions("m") == [3] and len(models.load("m").clusterCenters()) == 4
+    assert len([p for p in (tmp_path / "m").iterdir() if p.name.startswith("model-")]) == 1
+    with pytest.raises(LookupError):
+        models.load("m", 1)
+
+
+def test_the_slower_of_two_model_writers_is_told(spark, points, tmp_path):
+    mine, other = ModelStore(spark, str(tmp_path)), ModelStore(spark, str(tmp_path))
+    model = fit_clusters(points, COLUMNS, k=2, seed=1)
+    assert mine.save("m", model, None) == 1
+
+    def slow():
+        other.refit("m", lambda: fit_clusters(points, COLUMNS, k=3, seed=1))
+        return model
+
+    with pytest.raises(ConcurrentUpdate):
+        mine.refit("m", slow)
+    with pytest.raises(ConcurrentUpdate):
+        mine.save("m", model, 1)
+    assert mine.versions("m") == [1, 2] and len(mine.load("m").clusterCenters()) == 3
+    folders = [p for p in (tmp_path / "m").iterdir() if p.name.startswith("model-")]
+    assert len(folders) == 2
+
+
+def test_a_model_saved_without_versions_is_version_0(spark, points, tmp_path):
+    fit_clusters(points, COLUMNS, k=2, seed=1).write().save(str(tmp_path / "m"))
+    models = ModelStore(spark, str(tmp_path))
+    assert models.versions("m") == [0]
+    assert len(models.fit_or_load("m", lambda: pytest.fail("must load")).clusterCenters()) == 2
+    models.refit("m", lambda: fit_clusters(points, COLUMNS, k=3, seed=1))
+    assert models.versions("m") == [0, 1] and len(models.load("m").clusterCenters()) == 3
