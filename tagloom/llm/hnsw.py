@@ -17,7 +17,7 @@ from tagloom.llm.tables import Scratch
 
 LINKS = 16  # per vector and level; twice as many on the lowest
 WIDTH = 80  # of the beam when building
-SEARCH_WIDTH = 160
+SEARCH_WIDTH = 320  # recall at 20 on full shards of 64 numbers: 0.99 with clusters, 0.96 without any structure
 SHARD = 8192
 TOGETHER = 256
 QUERIES_PER_TASK = 4096

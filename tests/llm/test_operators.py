@@ -18,7 +18,7 @@ from tagloom.llm.chosen_path import ChosenPathJoin, near_duplicates, one_of_each
 from tagloom.llm.components import components
 from tagloom.llm.disclosure import personal_data, sanitised
 from tagloom.llm.gam import fit, good_documents, quality_scores
-from tagloom.llm.hnsw import nearest
+from tagloom.llm.hnsw import SHARD, nearest
 from tagloom.llm.lines import dedup_lines, without_shared_lines
 from tagloom.llm.mixing import Target, mix
 from tagloom.llm.search import search
@@ -439,3 +439,29 @@ def test_nearest_with_odd_vectors_and_many_equal_ones(spark):
         hits += len({i for _, i in want} & set(mine))
     assert hits >= 0.98 * 20 * len([i for i in vectors if i % 20 == 0])
     assert not {r["query_id"] for r in found} & {2000, 2020, 2040, 2060, 2080}
+
+
+@pytest.mark.parametrize("kind", ["clusters", "plain"])
+def test_recall_of_nearest_on_two_full_shards(spark, kind):
+    rng = np.random.default_rng(11)
+    n, k = 2 * SHARD, 20
+    vectors = rng.normal(size=(n, 64))
+    if kind == "clusters":
+        vectors = (vectors + 2 * rng.normal(size=(50, 64))[rng.integers(0, 50, n)]) * rng.lognormal(0, 0.5, (n, 1))
+    vectors = vectors.astype(np.float32)
+    # Few vectors ask, and all may be found.
+    ids = np.arange(n) * 20 + (np.arange(n) % 128 != 0)
+    table = spark.createDataFrame(list(zip(ids.tolist(), vectors.tolist())), "vec_id long, embedding array<float>")
+    found = {}
+    for r in nearest(table.repartition(8)).collect():
+        found.setdefault(r["query_id"], {})[r["vec_id"]] = r["score"]
+    exact, hits = vectors.astype(np.float64), 0
+    asked = np.flatnonzero(ids % 20 == 0)
+    for block in np.array_split(asked, 8):
+        scores = exact[block] @ exact.T
+        scores[np.arange(len(block)), block] = -np.inf
+        for q, own in zip(block, scores):
+            best = np.argsort(-own, kind="stable")[:k]
+            hits += len(set(ids[best].tolist()) & set(found[ids[q]]))
+            assert all(abs(own[(i - i % 20) // 20] - s) < 1e-9 * max(1, abs(s)) for i, s in found[ids[q]].items())
+    assert len(found) == len(asked) == 128 and hits / (k * len(asked)) >= 0.93
