@@ -2,36 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagloom.llm.tables import Scratch, ascii_lower, or_empty
+from tagloom.llm.tables import Scratch, or_empty
 
 K1, B = 1.2, 0.75
-SHARD = 4096
+SHARD, SHARD_CHARS = 4096, 1 << 24  # documents and characters of a shard; a longer text is a shard of its own
 BLOCK = 64
 HEAVY, LONG = 1024, 16  # so many terms at most, in over a LONGth of a shard's documents, are kept as rows of a matrix
-QUERIES_PER_TASK = 4096
 QUERIES_AT_ONCE = 512
-GROUPS, SHARDS_PER_TASK = 6, 8
+BLOCK_WORDS = 1 << 22  # words of the queries that are broadcast together
+LIGHT_AT_ONCE = 1 << 20  # postings added up together
 DIGITS = 6  # scores that agree to so many decimals are ties
-HASH_SEED = 42  # of Spark's xxhash64
+MARGIN = 10.0**-DIGITS
+HASH_SEED = 42
+
+
+class Batch:
+    """Queries that are scored together: a vocabulary with idf weights, and for each query its
+    places in it, laid end to end."""
+
+    def __init__(self, asked: np.ndarray, sizes: np.ndarray, terms: np.ndarray, dfs: np.ndarray, n: int):
+        self.asked = asked
+        self.terms, first, places = np.unique(terms, return_index=True, return_inverse=True)
+        df = dfs[first].astype(np.float64)
+        self.idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        self.places = places.astype(np.int32)
+        self.query = np.repeat(np.arange(len(asked), dtype=np.int32), sizes)
+
+
+class Hits:
+    """The ``k`` best documents so far of each query of a batch, ties to the smaller id.
+    ``least`` is the score that a further document must reach."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.least = np.full(queries, -np.inf)
+        self.query, self.doc_id, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def add(self, query: np.ndarray, doc_id: np.ndarray, score: np.ndarray) -> None:
+        query, doc_id = np.append(self.query, query), np.append(self.doc_id, doc_id)
+        score = np.append(self.score, np.round(score, DIGITS))
+        order = np.lexsort((doc_id, -score, query))
+        query, doc_id, score = query[order], doc_id[order], score[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        last = rank == self.k - 1
+        self.least[query[last]] = score[last]
+        self.query, self.doc_id, self.score = query[rank < self.k], doc_id[rank < self.k], score[rank < self.k]
 
 
 class ShardIndex:
     """Postings of one shard, sorted by term and document. ``impact`` is a posting's BM25
     score without the term's idf. Terms that many documents have are heavy: their impacts
     also stand in ``dense``, a row for each, and ``highest`` has the largest of each
-    ``BLOCK`` documents."""
+    ``BLOCK`` documents. Documents from ``len(ids)`` on have no id and are no hits."""
 
-    def __init__(self, terms, starts, docs, counts, lengths, average: float):
-        self.terms, self.starts, self.docs, self.lengths = terms, starts, docs, lengths
+    def __init__(self, ids, terms, starts, docs, counts, lengths, average: float):
+        self.ids, self.terms, self.starts, self.docs = ids, terms, starts, docs
         self.impact = counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[docs] / average))
         sizes = np.diff(starts)
         heavy = np.flatnonzero(sizes > len(lengths) / LONG)
@@ -44,182 +80,224 @@ class ShardIndex:
             own = slice(starts[t], starts[t + 1])
             self.dense[i, docs[own]] = self.impact[own]
         self.highest = self.dense.reshape(len(heavy), self.blocks, BLOCK).max(axis=2)
+        self.by_id = np.argsort(ids, kind="stable")
 
-    def search(self, ids: np.ndarray, asked: np.ndarray, terms: list[np.ndarray], idf: list[np.ndarray], k: int):
-        """``(query, doc_id, score)`` arrays: the ``k`` best documents of each query, ties
-        to the smaller id. Documents with the ``asked`` id of a query are no hits for it.
+    def search(self, batch: Batch, hits: Hits) -> None:
+        """Add this shard's hits. Documents with the id of a query are no hits for it.
 
         The light terms are added up first. The k-th of these sums is a lower bound of the
-        k-th score; a block is scored in full for the queries whose largest sum in it and
-        whose heavy terms' largest impacts there reach that bound.
+        k-th score, as is the k-th score of the shards before. A block is scored in full for
+        the queries whose largest sum in it and whose heavy terms' largest impacts there
+        reach that bound.
         """
-        scores, weights = self._light(terms, idf)
-        order = np.argsort(ids, kind="stable")
-        first, last = (np.searchsorted(ids[order], asked, side) for side in ("left", "right"))
+        n, scores, weights = len(self.ids), *self._light(batch)
+        scores[:, n:] = -np.inf  # whatever is added to it
+        first, last = (np.searchsorted(self.ids[self.by_id], batch.asked, side) for side in ("left", "right"))
         for q in np.flatnonzero(last > first):
-            scores[q, order[first[q] : last[q]]] = -np.inf  # whatever is added to it
-        margin = 10.0**-DIGITS
-        n, within = len(self.lengths), min(k, len(self.lengths))
-        least = np.partition(scores[:, :n], n - within, axis=1)[:, n - within] - 2 * margin
-        bounds = scores.reshape(len(terms), self.blocks, BLOCK).max(axis=2) + weights @ self.highest
-        reached = bounds + margin >= least[:, None]
+            scores[q, self.by_id[first[q] : last[q]]] = -np.inf
+        least = self._least(scores, hits)
+        bounds = scores.reshape(len(scores), self.blocks, BLOCK).max(axis=2) + weights @ self.highest
+        reached = bounds >= least[:, None]
         for block in range(self.blocks):
             part, q = slice(block * BLOCK, (block + 1) * BLOCK), np.flatnonzero(reached[:, block])
-            scores[q, part] += weights[q] @ self.dense[:, part]
-        scores = scores[:, :n]
-        least = np.partition(scores, n - within, axis=1)[:, n - within] - 2 * margin
-        query, doc = np.nonzero((scores > 0) & (scores >= least[:, None]))
-        score, doc_id = np.round(scores[query, doc], DIGITS), ids[doc]
-        order = np.lexsort((doc_id, -score, query))
-        query, doc_id, score = query[order], doc_id[order], score[order]
-        best = np.arange(len(query)) - np.searchsorted(query, query) < k
-        return query[best], doc_id[best], score[best]
+            if len(q):
+                scores[q, part] += weights[q] @ self.dense[:, part]
+        query, doc = np.nonzero((scores > 0) & (scores >= self._least(scores, hits)[:, None]))
+        hits.add(query, self.ids[doc], scores[query, doc])
+
+    def _least(self, scores: np.ndarray, hits: Hits) -> np.ndarray:
+        least, n = hits.least.copy(), len(self.ids)
+        new = np.flatnonzero(np.isneginf(least))
+        if len(new) and n >= hits.k:
+            least[new] = np.partition(scores[new, :n], n - hits.k, axis=1)[:, n - hits.k]
+        return least - 2 * MARGIN
 
-    def _light(self, terms, idf) -> tuple[np.ndarray, np.ndarray]:
+    def _light(self, batch: Batch) -> tuple[np.ndarray, np.ndarray]:
         """For each query the documents' scores by light terms, and its heavy terms' idf."""
-        scores = np.zeros((len(terms), self.blocks * BLOCK))
-        weights = np.zeros((len(terms), len(self.dense)))
-        for i, (own, weight) in enumerate(zip(terms, idf)):
-            at = np.minimum(np.searchsorted(self.terms, own), len(self.terms) - 1)
-            here = self.terms[at] == own
-            at, weight = at[here], weight[here]
-            row = self.row[at]
-            weights[i, row[row >= 0]] = weight[row >= 0]
-            at, weight = at[row < 0], weight[row < 0]
-            low, there = self.starts[at], self.starts[at + 1] - self.starts[at]
-            total = int(there.sum())  # the lists, laid end to end
-            at = np.arange(total) + np.repeat(low - (np.cumsum(there) - there), there)
-            scores[i] = np.bincount(self.docs[at], self.impact[at] * np.repeat(weight, there), self.blocks * BLOCK)
+        queries, width = len(batch.asked), self.blocks * BLOCK
+        scores, weights = np.zeros((queries, width)), np.zeros((queries, len(self.dense)))
+        at = np.minimum(np.searchsorted(self.terms, batch.terms), len(self.terms) - 1)
+        term = np.where(self.terms[at] == batch.terms, at, -1)[batch.places]
+        here = np.flatnonzero(term >= 0)
+        term, query, idf = term[here], batch.query[here], batch.idf[batch.places[here]]
+        row = self.row[term]
+        heavy, light = row >= 0, row < 0
+        weights[query[heavy], row[heavy]] = idf[heavy]
+        term, query, idf = term[light], query[light], idf[light]
+        sizes = self.starts[term + 1] - self.starts[term]
+        of_query = np.bincount(query, sizes, queries)
+        turn = ((np.cumsum(of_query) - of_query) // LIGHT_AT_ONCE).astype(np.int64)
+        edges = np.append(np.flatnonzero(np.diff(turn, prepend=-1)), queries)
+        for start, end in zip(edges[:-1], edges[1:]):
+            own = slice(*np.searchsorted(query, [start, end]))
+            there = sizes[own]
+            at = np.arange(there.sum()) + np.repeat(self.starts[term[own]] - (np.cumsum(there) - there), there)
+            cell = self.docs[at] + np.repeat((query[own] - start) * np.int64(width), there)
+            added = np.bincount(cell, self.impact[at] * np.repeat(idf[own], there), (end - start) * width)
+            scores[start:end] = added.reshape(-1, width)
         return scores, weights
 
 
+class _Numbers(dict):
+    """Numbers words in the order of their first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        return self.setdefault(word, len(self))
+
+
 def postings(texts: Iterable[str]) -> tuple[np.ndarray, ...]:
     """Terms, starts, docs, counts and lengths of a shard's index."""
-    terms, docs, counts, lengths = [], [], [], []
-    for i, text in enumerate(texts):
-        words = text.encode("utf-8", "replace").lower().split()
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), np.uint64, len(words))
-        own, times = np.unique(hashes, return_counts=True)
-        terms.append(own), counts.append(times.astype(np.int32)), lengths.append(len(words))
-        docs.append(np.full(len(own), i, np.int32))
-    terms, docs, counts = map(np.concatenate, (terms, docs, counts))
-    order = np.argsort(terms, kind="stable")
-    terms, docs, counts = terms[order], docs[order], counts[order]
-    distinct, starts = np.unique(terms, return_index=True)
-    starts = np.append(starts, len(terms)).astype(np.int32)
-    return distinct, starts, docs, counts, np.array(lengths, np.int32)
-
-
-def _indexed(shard: pd.DataFrame) -> pd.DataFrame:
-    shard = shard.sort_values(["doc_id", "text"])
-    terms, starts, docs, counts, lengths = postings(shard["text"])
-    return pd.DataFrame(
-        {
-            "shard": [int(shard["shard"].iloc[0])],
-            "doc_ids": [shard["doc_id"].astype("int64").tolist()],
-            "terms": [terms.tobytes()],
-            "starts": [starts.tobytes()],
-            "docs": [docs.astype(np.uint16 if len(shard) <= 1 << 16 else np.int32).tobytes()],
-            "counts": [counts.tobytes()],
-            "lengths": [lengths.tobytes()],
-        }
-    )
+    number = _Numbers()
+    split = [text.encode("utf-8", "replace").lower().split() for text in texts]
+    lengths = np.array([len(words) for words in split], np.int32)
+    own = np.fromiter((number[w] for words in split for w in words), np.int64, int(lengths.sum()))
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in number), np.uint64, len(number))
+    terms, rank = np.unique(hashes, return_inverse=True)
+    width = max(len(lengths), 1)
+    places, counts = np.unique(rank[own] * width + np.repeat(np.arange(len(lengths)), lengths), return_counts=True)
+    starts = np.searchsorted(places, np.arange(len(terms) + 1) * width).astype(np.int32)
+    return terms, starts, (places % width).astype(np.int32), counts.astype(np.int32), lengths
 
 
-def _searched(k: int, n: int, average: float):
-    def run(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float64)
-        found = [none]
-        asked = queries["query_id"].to_numpy(np.int64)
-        for row in index.itertuples() if len(asked) else ():
-            ids = np.array(row.doc_ids, np.int64)
-            if not len(row.terms):
-                continue  # no document of it has a word
-            width = np.uint16 if len(ids) <= 1 << 16 else np.int32
-            shard = ShardIndex(
-                np.frombuffer(row.terms, np.uint64),
-                np.frombuffer(row.starts, np.int32),
-                np.frombuffer(row.docs, width).astype(np.int32),
-                np.frombuffer(row.counts, np.int32),
-                np.frombuffer(row.lengths, np.int32),
-                average,
-            )
-            for at in range(0, len(asked), QUERIES_AT_ONCE):
-                part = slice(at, at + QUERIES_AT_ONCE)
-                terms = [np.asarray(t, np.int64).view(np.uint64) for t in queries["terms"].iloc[part]]
-                dfs = [np.asarray(d, np.float64) for d in queries["dfs"].iloc[part]]
-                idf = [np.log(1 + (n - df + 0.5) / (df + 0.5)) for df in dfs]
-                query, doc_id, score = shard.search(ids, asked[part], terms, idf, k)
-                found.append((asked[part][query], doc_id, score))
-        return pd.DataFrame(dict(zip(("query_id", "doc_id", "score"), map(np.concatenate, zip(*found)))))
+INDEX = (
+    "n long, n_words long, ids binary, terms binary, starts binary, docs binary, counts binary, lengths binary"
+)
+
+
+def _index_row(rows: list[tuple]) -> pd.DataFrame:
+    rows = sorted(rows, key=lambda row: row[0] is None)  # those without an id come last
+    terms, starts, docs, counts, lengths = postings(text for _, text in rows)
+    values = {
+        "n": len(rows),
+        "n_words": int(lengths.sum()),
+        "ids": np.array([doc_id for doc_id, _ in rows if doc_id is not None], np.int64).tobytes(),
+        "terms": terms.tobytes(),
+        "starts": starts.tobytes(),
+        "docs": docs.astype(np.uint16).tobytes(),
+        "counts": counts.tobytes(),
+        "lengths": lengths.tobytes(),
+    }
+    return pd.DataFrame({name: [value] for name, value in values.items()})
+
+
+def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows, chars = [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+            if rows and (len(rows) == SHARD or chars + len(text) > SHARD_CHARS):
+                yield pa.RecordBatch.from_pandas(_index_row(rows), preserve_index=False)
+                rows, chars = [], 0
+            rows.append((doc_id, text))
+            chars += len(text)
+    if rows:
+        yield pa.RecordBatch.from_pandas(_index_row(rows), preserve_index=False)
+
+
+def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for row in batch.itertuples():
+            terms, starts = np.frombuffer(row.terms, np.int64), np.frombuffer(row.starts, np.int32)
+            yield pd.DataFrame({"h": terms, "df": np.diff(starts)})
+
+
+def _asked(every: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                ids, docs = np.frombuffer(row.ids, np.int64), np.frombuffer(row.docs, np.uint16)
+                asks = np.zeros(row.n, bool)
+                asks[: len(ids)] = ids % every == 0
+                at = np.flatnonzero(asks[docs])
+                term = np.searchsorted(np.frombuffer(row.starts, np.int32), at, "right") - 1
+                words = pd.DataFrame({"query_id": ids[docs[at]], "h": np.frombuffer(row.terms, np.int64)[term]})
+                yield words.drop_duplicates()  # one id may have many rows
 
     return run
 
 
-def _words(text):
-    return F.array_remove(F.split(ascii_lower(text), "[ \\t-\\r]+"), "")
+def _searched(block, k: int, average: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [(batch, Hits(len(batch.asked), k)) for batch in block.value]
+        for shards in batches:
+            for row in shards.itertuples():
+                if not len(row.terms) or not len(row.ids):
+                    continue  # no word, or no document that can be a hit
+                shard = ShardIndex(
+                    np.frombuffer(row.ids, np.int64),
+                    np.frombuffer(row.terms, np.uint64),
+                    np.frombuffer(row.starts, np.int32),
+                    np.frombuffer(row.docs, np.uint16).astype(np.int32),
+                    np.frombuffer(row.counts, np.int32),
+                    np.frombuffer(row.lengths, np.int32),
+                    average,
+                )
+                for batch, hits in found:
+                    shard.search(batch, hits)
+        for batch, hits in found:
+            yield pd.DataFrame({"query_id": batch.asked[hits.query], "doc_id": hits.doc_id, "score": hits.score})
+
+    return run
+
+
+def _batches(block: pa.Table, n: int) -> list[Batch]:
+    asked = block["query_id"].to_numpy()
+    sizes = block["terms"].combine_chunks().value_lengths().to_numpy().astype(np.int64)
+    terms, dfs = (block[c].combine_chunks().flatten().to_numpy() for c in ("terms", "dfs"))
+    ends = np.append(0, np.cumsum(sizes))
+    batches = []
+    for at in range(0, len(asked), QUERIES_AT_ONCE):
+        to = min(at + QUERIES_AT_ONCE, len(asked))
+        own = slice(ends[at], ends[to])
+        batches.append(Batch(asked[at:to], sizes[at:to], terms[own].view(np.uint64), dfs[own], n))
+    return batches
 
 
-def search(docs: DataFrame, every: int = 20, k: int = 10, terms: int | None = None) -> DataFrame:
+def search(docs: DataFrame, every: int = 20, k: int = 10) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the ``k`` best other documents by BM25 for each
     document whose doc_id is divisible by ``every``.
 
-    A query is made of all distinct words of the whole text, or with ``terms`` of so many of
-    its rarest words that at least two documents have, where ties of rarity go to the first
-    in byte order. Words are split at ASCII white space, with A-Z lower-cased. Scores use the
-    numbers of documents and words and the document frequencies of the whole table, and are
-    exact; those that agree to six decimals are ties, which go to the smaller doc_id.
-    Documents without any query word are no hits.
+    A query is made of all distinct words of the whole text. Words are split at ASCII white
+    space, with A-Z lower-cased, and told apart by 64-bit hashes. Scores use the numbers of
+    documents and words and the document frequencies of the whole table, and are exact; those
+    that agree to six decimals are ties, which go to the smaller doc_id. Documents without
+    any query word are no hits.
 
     Null texts count as empty; rows without a doc_id count in the statistics but are neither
     queries nor hits. Rows with the query's doc_id are no hits for it; of other repeated rows
     each is one, and a repeated query asks once, with the words of all its rows. Other
     columns are ignored. An empty table gives an empty result.
 
-    Shards hold about ``SHARD`` documents. An index is built in one task and goes straight to
-    the tasks that search it, which get the queries in parts, without the words that only one row has, which find nothing. Each
-    shard's results are whole, so the merge is exact. Every query visits every shard, so the
-    work grows with the square of the table.
+    Shards are ``SHARD`` consecutive rows at most, so texts are not shuffled. Their indexes are
+    written once, and give the document frequencies and the queries' words too. The queries
+    are broadcast in blocks of about ``BLOCK_WORDS`` words, and each block's hits are written;
+    what is shuffled grows in proportion to the table, the scoring with its square, since
+    every query visits every shard. A task hands its k-th scores on from shard to shard.
     """
-    scratch = Scratch(docs)
+    spark, scratch = docs.sparkSession, Scratch(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty(F.col("text")).alias("text"))
-    words = _words(F.col("text"))
-    hashed = texts.select(F.transform(words, lambda w: F.xxhash64(w)).alias("h"))
-    frequency = hashed.select(F.explode(F.array_distinct("h")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
-    n, total = texts.agg(
-        F.count(F.lit(1)), F.sum(F.regexp_count(F.col("text"), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long"))
-    ).first()
-    average = max((total or 0) / max(n, 1), 1e-9)
-    asked = texts.filter(F.col("doc_id") % every == 0).select("doc_id", F.explode(words).alias("term"))
-    asked = asked.withColumn("h", F.xxhash64("term")).select("doc_id", "h", *["term"] * (terms is not None)).distinct()
-    asked = asked.join(frequency.filter(F.col("df") >= 2), "h")
-    if terms is not None:
-        place = F.row_number().over(W.partitionBy("doc_id").orderBy("df", "term"))
-        asked = asked.withColumn("place", place).filter(F.col("place") <= terms)
-    queries = scratch.write(
-        asked.groupBy(F.col("doc_id").alias("query_id"))
-        .agg(F.array_sort(F.collect_list(F.struct("h", F.col("df").cast("int").alias("df")))).alias("q"))
-        .select("query_id", F.col("q.h").alias("terms"), F.col("q.df").alias("dfs"))
-    )
-    shards, parts = n // SHARD + 1, queries.count() // QUERIES_PER_TASK + 1
-    groups = min(shards, max(GROUPS, -(-shards // SHARDS_PER_TASK)))  # of shards that share a copy of the queries
-    index = (
-        texts.filter(F.col("doc_id").isNotNull())
-        .withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(shards)))
-        .groupBy("shard")
-        .applyInPandas(
-            _indexed,
-            "shard long, doc_ids array<bigint>, terms binary, starts binary, docs binary, counts binary, lengths binary",
-        )
-    )
-
-    def numbers(count: int):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
-
-    to = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts))).withColumn("group", numbers(groups))
-    copies = index.withColumn("group", F.col("shard") % groups).withColumn("part", numbers(parts))
-    found = copies.groupBy("group", "part").cogroup(to.groupBy("group", "part")).applyInPandas(
-        _searched(k, n, average), "query_id long, doc_id long, score double"
+    index = scratch.write(texts.mapInArrow(_indexed, INDEX))
+    n, words = index.agg(F.sum("n"), F.sum("n_words")).first()
+    average = max((words or 0) / max(n or 0, 1), 1e-9)
+    frequency = (
+        index.select("terms", "starts")
+        .mapInPandas(_frequencies, "h long, df int")
+        .groupBy("h")
+        .agg(F.sum("df").alias("df"))
+        .filter(F.col("df") >= 2)  # a word of a single row finds nothing
     )
+    asked = index.select("n", "ids", "terms", "starts", "docs").mapInPandas(_asked(every), "query_id long, h long")
+    asked = asked.join(frequency, "h").groupBy("query_id", "h").agg(F.first("df").alias("df"))
+    queries = asked.groupBy("query_id").agg(F.collect_list(F.struct("h", "df")).alias("q"), F.count("h").alias("words"))
+    queries = scratch.write(queries.select("query_id", "words", F.col("q.h").alias("terms"), F.col("q.df").alias("dfs")))
+    blocks = (queries.agg(F.sum("words")).first()[0] or 0) // BLOCK_WORDS + 1
+    found = []
+    for number in range(blocks):
+        own = F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number
+        batches = _batches(queries.filter(own).select("query_id", "terms", "dfs").toArrow(), n or 0)
+        block = spark.sparkContext.broadcast(batches)
+        hits = index.mapInPandas(_searched(block, k, average), "query_id long, doc_id long, score double")
+        found.append(scratch.write(hits))
+        block.unpersist()
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    best = reduce(DataFrame.unionAll, found).withColumn("rank", rank).filter(F.col("rank") <= k)
+    return best.select("query_id", "rank", "doc_id", "score")
