@@ -22,6 +22,7 @@ HEAVY, LONG = 1024, 16  # so many terms at most, in over a LONGth of a shard's d
 QUERIES_AT_ONCE = 512
 BLOCK_WORDS = 1 << 22  # words of the queries that are broadcast together
 LIGHT_AT_ONCE = 1 << 20  # postings added up together
+GROWTH, LEVELS = 4, 20  # each round of shards is so many times as large as all before it; levels of shards
 DIGITS = 6  # scores that agree to so many decimals are ties
 MARGIN = 10.0**-DIGITS
 HASH_SEED = 42
@@ -42,11 +43,11 @@ class Batch:
 
 class Hits:
     """The ``k`` best documents so far of each query of a batch, ties to the smaller id.
-    ``least`` is the score that a further document must reach."""
+    ``least`` is the score that a further document must reach, to begin with that of the
+    ``k``-th best among documents searched before."""
 
-    def __init__(self, queries: int, k: int):
-        self.k = k
-        self.least = np.full(queries, -np.inf)
+    def __init__(self, k: int, least: np.ndarray):
+        self.k, self.least = k, least.copy()
         self.query, self.doc_id, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
 
     def add(self, query: np.ndarray, doc_id: np.ndarray, score: np.ndarray) -> None:
@@ -56,7 +57,7 @@ class Hits:
         query, doc_id, score = query[order], doc_id[order], score[order]
         rank = np.arange(len(query)) - np.searchsorted(query, query)
         last = rank == self.k - 1
-        self.least[query[last]] = score[last]
+        self.least[query[last]] = np.maximum(self.least[query[last]], score[last])
         self.query, self.doc_id, self.score = query[rank < self.k], doc_id[rank < self.k], score[rank < self.k]
 
 
@@ -160,17 +161,22 @@ def postings(texts: Iterable[str]) -> tuple[np.ndarray, ...]:
 
 
 INDEX = (
-    "n long, n_words long, ids binary, terms binary, starts binary, docs binary, counts binary, lengths binary"
+    "n long, n_words long, level int, ids binary, terms binary, starts binary, docs binary, counts binary, lengths binary"
 )
 
 
 def _index_row(rows: list[tuple]) -> pd.DataFrame:
     rows = sorted(rows, key=lambda row: row[0] is None)  # those without an id come last
     terms, starts, docs, counts, lengths = postings(text for _, text in rows)
+    ids = np.array([doc_id for doc_id, _ in rows if doc_id is not None], np.int64).tobytes()
+    lot, level = xxhash.xxh64_intdigest(ids, HASH_SEED), 0
+    while level < LEVELS and lot % GROWTH == 0:
+        lot, level = lot // GROWTH, level + 1
     values = {
         "n": len(rows),
         "n_words": int(lengths.sum()),
-        "ids": np.array([doc_id for doc_id, _ in rows if doc_id is not None], np.int64).tobytes(),
+        "level": np.int32(level),
+        "ids": ids,
         "terms": terms.tobytes(),
         "starts": starts.tobytes(),
         "docs": docs.astype(np.uint16).tobytes(),
@@ -215,10 +221,11 @@ def _asked(every: int):
     return run
 
 
-def _searched(block, k: int, average: float):
+def _searched(block, least, k: int, average: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = [(batch, Hits(len(batch.asked), k)) for batch in block.value]
+        found = []
         for shards in batches:
+            found = found or [(batch, Hits(k, bound)) for batch, bound in zip(block.value, least.value)]
             for row in shards.itertuples():
                 if not len(row.terms) or not len(row.ids):
                     continue  # no word, or no document that can be a hit
@@ -252,6 +259,23 @@ def _batches(block: pa.Table, n: int) -> list[Batch]:
     return batches
 
 
+def _best(found: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def _bounds(best: DataFrame, batches: list[Batch], k: int) -> list[np.ndarray]:
+    """The k-th score of each query of the batches, if it has so many hits."""
+    last = best.filter(F.col("rank") == k).select("query_id", "score").toArrow().sort_by("query_id")
+    ids, scores = np.append(last["query_id"].to_numpy(), 0), np.append(last["score"].to_numpy(), 0.0)
+    bounds = []
+    for batch in batches:
+        at = np.searchsorted(ids[:-1], batch.asked)
+        there = (ids[at] == batch.asked) & (at < len(ids) - 1)
+        bounds.append(np.where(there, scores[at], -np.inf))
+    return bounds
+
+
 def search(docs: DataFrame, every: int = 20, k: int = 10) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the ``k`` best other documents by BM25 for each
     document whose doc_id is divisible by ``every``.
@@ -269,9 +293,11 @@ def search(docs: DataFrame, every: int = 20, k: int = 10) -> DataFrame:
 
     Shards are ``SHARD`` consecutive rows at most, so texts are not shuffled. Their indexes are
     written once, and give the document frequencies and the queries' words too. The queries
-    are broadcast in blocks of about ``BLOCK_WORDS`` words, and each block's hits are written;
-    what is shuffled grows in proportion to the table, the scoring with its square, since
-    every query visits every shard. A task hands its k-th scores on from shard to shard.
+    are broadcast in blocks of about ``BLOCK_WORDS`` words. A block visits the shards in
+    rounds, each ``GROWTH`` times as large as all before it, and takes the k-th scores found
+    along as bounds, so that a task gives few hits that others beat. What is shuffled grows
+    about in proportion to the table, the scoring with its square, since every query visits
+    every shard.
     """
     spark, scratch = docs.sparkSession, Scratch(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty(F.col("text")).alias("text"))
@@ -290,14 +316,23 @@ def search(docs: DataFrame, every: int = 20, k: int = 10) -> DataFrame:
     queries = asked.groupBy("query_id").agg(F.collect_list(F.struct("h", "df")).alias("q"), F.count("h").alias("words"))
     queries = scratch.write(queries.select("query_id", "words", F.col("q.h").alias("terms"), F.col("q.df").alias("dfs")))
     blocks = (queries.agg(F.sum("words")).first()[0] or 0) // BLOCK_WORDS + 1
-    found = []
+    shards, rounds = index.count(), 1
+    while shards > 2 * GROWTH**rounds and rounds <= LEVELS:
+        rounds += 1
+    results = []
     for number in range(blocks):
         own = F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number
         batches = _batches(queries.filter(own).select("query_id", "terms", "dfs").toArrow(), n or 0)
         block = spark.sparkContext.broadcast(batches)
-        hits = index.mapInPandas(_searched(block, k, average), "query_id long, doc_id long, score double")
-        found.append(scratch.write(hits))
+        bounds, best = [np.full(len(batch.asked), -np.inf) for batch in batches], None
+        for level in reversed(range(rounds)):
+            of_round = F.col("level") >= level if level == rounds - 1 else F.col("level") == level
+            least = spark.sparkContext.broadcast(bounds)
+            run = _searched(block, least, k, average)
+            hits = index.filter(of_round).mapInPandas(run, "query_id long, doc_id long, score double")
+            best = scratch.write(_best(hits if best is None else best.drop("rank").unionByName(hits), k))
+            bounds = _bounds(best, batches, k) if level else bounds
+            least.unpersist()
         block.unpersist()
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
-    best = reduce(DataFrame.unionAll, found).withColumn("rank", rank).filter(F.col("rank") <= k)
-    return best.select("query_id", "rank", "doc_id", "score")
+        results.append(best.select("query_id", "rank", "doc_id", "score"))
+    return reduce(DataFrame.unionAll, results)

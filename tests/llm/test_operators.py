@@ -428,7 +428,7 @@ def test_search_over_many_shards_and_blocks(spark, monkeypatch):
     ]
     whole = sorted(map(tuple, search(docs(spark, rows).coalesce(1)).collect()))
     monkeypatch.setattr("tagloom.llm.search.BLOCK_WORDS", 40)
-    parts = sorted(map(tuple, search(docs(spark, rows).repartition(7)).collect()))
+    parts = sorted(map(tuple, search(docs(spark, rows).repartition(12)).collect()))
     assert parts == whole and len(whole) > 50 and all(doc_id is not None for _, _, doc_id, _ in whole)
 
 
