@@ -20,8 +20,8 @@ SHARD, SHARD_CHARS = 4096, 1 << 24  # documents and characters of a shard; a lon
 BLOCK = 64
 HEAVY, LONG = 1024, 16  # so many terms at most, in over a LONGth of a shard's documents, are kept as rows of a matrix
 QUERIES_AT_ONCE = 512
-BLOCK_WORDS = 1 << 22  # words of the queries that are broadcast together
-LIGHT_AT_ONCE = 1 << 20  # postings added up together
+BLOCK_WORDS = 1 << 21  # words of the queries that are broadcast together
+LIGHT_AT_ONCE = 1 << 19  # postings added up together
 GROWTH, LEVELS = 4, 20  # each round of shards is so many times as large as all before it; levels of shards
 DIGITS = 6  # scores that agree to so many decimals are ties
 MARGIN = 10.0**-DIGITS
@@ -149,9 +149,11 @@ class _Numbers(dict):
 def postings(texts: Iterable[str]) -> tuple[np.ndarray, ...]:
     """Terms, starts, docs, counts and lengths of a shard's index."""
     number = _Numbers()
-    split = [text.encode("utf-8", "replace").lower().split() for text in texts]
-    lengths = np.array([len(words) for words in split], np.int32)
-    own = np.fromiter((number[w] for words in split for w in words), np.int64, int(lengths.sum()))
+    own = [np.empty(0, np.int32)]
+    for text in texts:
+        words = text.encode("utf-8", "replace").lower().split()
+        own.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+    lengths, own = np.array([len(words) for words in own[1:]], np.int32), np.concatenate(own)
     hashes = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in number), np.uint64, len(number))
     terms, rank = np.unique(hashes, return_inverse=True)
     width = max(len(lengths), 1)
