@@ -23,7 +23,7 @@ from tagloom.llm.lines import dedup_lines, without_shared_lines
 from tagloom.llm.mixing import Target, mix
 from tagloom.llm.search import search
 from tagloom.llm.tables import Scratch
-from tagloom.llm.tokens import encoder, vocabulary_path
+from tagloom.llm.tokens import WordEncoder, encoder, vocabulary_path
 from tagloom.llm.tool_calls import Field, link_calls
 from tagloom.llm.wavelet import WaveletMatrix, token_files
 
@@ -316,6 +316,24 @@ def test_words_encode_as_whole_texts_do():
         assert own.ids(text).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_texts_are_encoded_without_their_words(monkeypatch):
+    """Words seldom come again with the same case and commas; their pieces do."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr("tagloom.llm.tokens.REMEMBERED", 20)
+    whole, own = Tokenizer.from_file(vocabulary_path()), WordEncoder(vocabulary_path())
+    rng = random.Random(2)
+    plain = ["don't", "'LL", "'", "Été,", "ÿ", "ß1", "42", "<", "|", "a|>", " ", "\t", "\n", "\x0b", "\r", "--", "_", "the"]
+    for _ in range(3000):
+        text = "".join(rng.choices(plain, k=rng.randrange(12))).replace("<|", "")
+        assert own.ids(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+        text += "<|endoftext|>“ \x85"[rng.randrange(14) :]
+        assert own.ids(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+    own = WordEncoder(vocabulary_path())
+    monkeypatch.setattr(own._words, "_compute", None)
+    assert own.ids("Stop, stop!  (STOP)\nÉtés").tolist() == whole.encode("Stop, stop!  (STOP)\nÉtés", add_special_tokens=False).ids
+
+
 def test_token_files_round_trip(spark):
     rows = [(i, t, "a") for i, t in [(5, "hello world"), (2, None), (9, "a b c" * 50)]]
     found = sorted(map(tuple, token_files(docs(spark, rows)).collect()))
