@@ -14,6 +14,7 @@ import regex
 from pyspark.sql import functions as F
 
 from tagloom.llm import packing
+from tagloom.llm import search as search_module
 from tagloom.llm.chosen_path import ChosenPathJoin, near_duplicates, one_of_each, packed, unpacked
 from tagloom.llm.components import components
 from tagloom.llm.disclosure import personal_data, sanitised
@@ -450,6 +451,20 @@ def test_search_over_many_shards_and_blocks(spark, monkeypatch):
     assert parts == whole and len(whole) > 50 and all(doc_id is not None for _, _, doc_id, _ in whole)
 
 
+def test_search_keeps_counts_narrow_and_exact(spark):
+    shard = search_module._index_row([(i, f"a b{i} c c") for i in range(300)]).iloc[0]
+    assert len(shard["counts"]) == len(shard["docs"]) // 2 == 900
+    for most in (1, 255, 256, 65_536):
+        counts = np.array([1, most], np.int32)
+        assert search_module._widened(search_module._narrow(counts), 2).tolist() == [1, most]
+    rows = [(0, "a")] + [(i, "a " * n + f"w{i}") for i, n in enumerate((1, 300, 70_000), 1)]
+    lengths = [len(t.split()) for _, t in rows]
+    idf, average = np.log(1 + 0.5 / 4.5), sum(lengths) / 4
+    scores = [n * 2.2 / (n + 1.2 * (0.25 + 0.75 * (n + 1) / average)) * idf for n in (1, 300, 70_000)]
+    found = {r["doc_id"]: r["score"] for r in search(docs(spark, [(i, t, "a") for i, t in rows])).collect()}
+    assert found == {i: round(s, 6) for i, s in enumerate(scores, 1)}
+
+
 def test_search_finds_others_beside_many_rows_of_its_own(spark):
     rows = [(20, "a b c", "a")] * 15 + [(i, f"a b w{i}", "a") for i in range(1, 5)]
     found = sorted((r["rank"], r["doc_id"]) for r in search(docs(spark, rows)).collect())
