@@ -19,7 +19,7 @@ from tagloom.llm.chosen_path import ChosenPathJoin, near_duplicates, one_of_each
 from tagloom.llm.components import components
 from tagloom.llm.disclosure import personal_data, sanitised
 from tagloom.llm.gam import fit, good_documents, quality_scores
-from tagloom.llm.hnsw import SHARD, nearest
+from tagloom.llm.hnsw import SEARCH_WIDTH, SHARD, Graph, nearest
 from tagloom.llm.lines import dedup_lines, without_shared_lines
 from tagloom.llm.mixing import Target, mix
 from tagloom.llm.search import search
@@ -488,6 +488,32 @@ def test_nearest_with_odd_vectors_and_many_equal_ones(spark):
     assert not {r["query_id"] for r in found} & {2000, 2020, 2040, 2060, 2080}
 
 
+class CountedReads(np.ndarray):
+    reads = 0
+
+    def __getitem__(self, key):
+        CountedReads.reads += 1
+        return np.asarray(self)[key]
+
+
+def test_a_beam_follows_the_links_of_several_at_a_time():
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(2000, 16)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    graph, _ = Graph.build(vectors, 1.0)
+    graph.links[0] = graph.links[0].view(CountedReads)
+    CountedReads.reads = 0
+    asked = graph.vectors[::40]
+    found = graph.search(asked, SEARCH_WIDTH)
+    assert 0 < CountedReads.reads < SEARCH_WIDTH / 2
+    near = asked @ graph.vectors.T
+    assert all(len(set(row)) == SEARCH_WIDTH and row.min() >= 0 for row in found)
+    for own, row in zip(near, found):
+        assert (np.diff(own[row]) <= 1e-6).all()
+    best = np.argsort(-near, axis=1)[:, :20]
+    assert np.mean([len(set(a) & set(b)) for a, b in zip(best, found)]) >= 19.8
+
+
 @pytest.mark.parametrize("kind", ["clusters", "plain"])
 def test_recall_of_nearest_on_two_full_shards(spark, kind):
     rng = np.random.default_rng(11)
