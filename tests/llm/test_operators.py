@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -465,6 +466,55 @@ def test_search_keeps_counts_narrow_and_exact(spark):
     assert found == {i: round(s, 6) for i, s in enumerate(scores, 1)}
 
 
+def test_search_scores_queries_of_one_kind_together(monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(search_module, "QUERIES_AT_ONCE", 8)
+    own = {}
+    for i in range(32):
+        kind = 1000 * (i % 2)
+        own[i * 20] = {kind: 900, **{kind + int(t): int(t) for t in rng.choice(np.arange(2, 99), 12, replace=False)}}
+    columns = [list(own), [list(q) for q in own.values()], [list(q.values()) for q in own.values()]]
+    batches = search_module._batches(pa.table(columns, names=["query_id", "terms", "dfs"]), 5000)
+    asked = [q for batch in batches for q in batch.asked.tolist()]
+    assert len(batches) == 4 and sorted(asked) == list(own)
+    for batch in batches:
+        assert len(set(batch.terms // 1000)) == 1
+        for i, q in enumerate(batch.asked.tolist()):
+            places = batch.places[batch.query == i]
+            assert sorted(batch.terms[places].tolist()) == sorted(own[q])
+            for term, idf in zip(batch.terms[places].tolist(), batch.idf[places]):
+                assert idf == np.log(1 + (5000 - own[q][term] + 0.5) / (own[q][term] + 0.5))
+
+
+@pytest.mark.parametrize("worth, most", [(1, 0.4), (1600, 0.0), (1600, 1.0), (10**9, 0.0), (10**9, 1.0)])
+def test_shards_give_the_same_hits_however_terms_are_added_up(monkeypatch, worth, most):
+    monkeypatch.setattr(search_module, "WORTH", worth)
+    monkeypatch.setattr(search_module, "MOST", most)
+    rng = np.random.default_rng(9)
+    chance = 1 / np.arange(1, 301)
+    rows = [(i, " ".join(f"w{w}" for w in rng.choice(300, rng.integers(1, 400), p=chance / chance.sum()))) for i in range(500)]
+    stored = search_module._index_row(rows).iloc[0]
+    terms, starts = np.frombuffer(stored["terms"], np.uint64), np.frombuffer(stored["starts"], np.int32)
+    docs, lengths = np.frombuffer(stored["docs"], np.uint16).astype(np.int32), np.frombuffer(stored["lengths"], np.int32)
+    counts = search_module._widened(stored["counts"], len(docs))
+    table, dfs = np.zeros((len(terms), 500)), np.diff(starts)
+    table[np.repeat(np.arange(len(terms)), dfs), docs] = counts
+    asked = np.arange(0, 500, 20)
+    own = [np.flatnonzero(table[:, q]) for q in asked]
+    every = np.concatenate(own)
+    batch = search_module.Batch(asked, np.array([len(t) for t in own]), terms[every], dfs[every], 500)
+    shard = search_module.ShardIndex(np.arange(500), terms, starts, docs, counts, lengths, lengths.mean())
+    hits = search_module.Hits(10, np.full(len(asked), -np.inf))
+    shard.search(batch, hits, search_module.Space())
+    impact = table * 2.2 / (table + 1.2 * (0.25 + 0.75 * lengths / lengths.mean()))
+    for i, q in enumerate(asked):
+        score = np.round((np.log(1 + (500 - dfs[own[i]] + 0.5) / (dfs[own[i]] + 0.5))[:, None] * impact[own[i]]).sum(axis=0), 6)
+        score[q] = -1
+        best = np.lexsort((np.arange(500), -score))[:10]
+        assert hits.doc_id[hits.query == i].tolist() == best.tolist()
+        assert np.allclose(hits.score[hits.query == i], score[best], atol=2e-6)
+
+
 def test_search_finds_others_beside_many_rows_of_its_own(spark):
     rows = [(20, "a b c", "a")] * 15 + [(i, f"a b w{i}", "a") for i in range(1, 5)]
     found = sorted((r["rank"], r["doc_id"]) for r in search(docs(spark, rows)).collect())
