@@ -515,6 +515,26 @@ def test_shards_give_the_same_hits_however_terms_are_added_up(monkeypatch, worth
         assert np.allclose(hits.score[hits.query == i], score[best], atol=2e-6)
 
 
+def test_a_block_of_a_shard_has_texts_of_one_kind():
+    """Texts of two kinds that alternate, some without words and some without an id."""
+    texts = [f"{'the of' if i % 2 else 'der und'} x{i} y{i % 7}" if i % 50 else " " for i in range(600)]
+    ids = [None if i % 10 == 3 else i for i in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts)], names=["doc_id", "text"])
+    (row,) = (row for out in search_module._indexed(iter([batch])) for row in out.to_pylist())
+    found, terms = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["terms"], np.uint64)
+    docs, starts = np.frombuffer(row["docs"], np.uint16), np.frombuffer(row["starts"], np.int32)
+    counts, lengths = search_module._widened(row["counts"], len(docs)), np.frombuffer(row["lengths"], np.int32)
+    assert sorted(found.tolist()) == [i for i in ids if i is not None] and row["n"] == len(lengths) == 600
+    of_doc = [Counter() for _ in range(600)]
+    for term, doc, count in zip(np.repeat(terms, np.diff(starts)), docs, counts):
+        of_doc[doc][int(term)] += int(count)
+    hashed = lambda text: Counter(search_module.xxhash.xxh64_intdigest(w, search_module.HASH_SEED) for w in text.encode().split())
+    assert [of_doc[at] for at in range(len(found))] == [hashed(texts[i]) for i in found]
+    assert [sum(c.values()) for c in of_doc] == lengths.tolist()
+    kinds = [{i % 2 for i in found[at : at + search_module.BLOCK] if i % 50} for at in range(0, len(found), search_module.BLOCK)]
+    assert sum(len(kind) > 1 for kind in kinds) <= 1
+
+
 def test_search_finds_others_beside_many_rows_of_its_own(spark):
     rows = [(20, "a b c", "a")] * 15 + [(i, f"a b w{i}", "a") for i in range(1, 5)]
     found = sorted((r["rank"], r["doc_id"]) for r in search(docs(spark, rows)).collect())
