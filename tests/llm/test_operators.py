@@ -535,6 +535,56 @@ def test_a_block_of_a_shard_has_texts_of_one_kind():
     assert sum(len(kind) > 1 for kind in kinds) <= 1
 
 
+def test_shards_have_texts_of_one_kind_and_length(monkeypatch):
+    """Consecutive texts are sorted before they are cut into shards."""
+    monkeypatch.setattr(search_module, "SHARD", 50)
+    texts = [f"{'the of' if i % 2 else 'der und'} x{i} " + "y " * (i % 4 // 2 * 100) for i in range(400)]
+    ids = [None if i % 40 == 3 else i for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts)], names=["doc_id", "text"])
+    rows = [row for out in search_module._indexed(iter([batch])) for row in out.to_pylist()]
+    found = [np.frombuffer(row["ids"], np.int64).tolist() for row in rows]
+    assert sorted(i for own in found for i in own) == [i for i in ids if i is not None]
+    assert [row["n"] for row in rows] == [50] * 8 and sum(row["n_words"] for row in rows) == 1200 + 200 * 100
+    assert [len({i % 4 for i in own}) for own in found] == [1] * 8
+
+
+@pytest.mark.parametrize("block, at_once, queries, bound", [(16, 40, 30, False), (16, 40, 30, True), (64, 1 << 16, 300, False), (64, 1 << 16, 300, True)])
+def test_blocks_of_a_shard_give_the_best_documents(monkeypatch, block, at_once, queries, bound):
+    """Two kinds of texts in many blocks, with rows of the queries' own ids, with and without bounds."""
+    monkeypatch.setattr(search_module, "BLOCK", block)
+    monkeypatch.setattr(search_module, "LIGHT_AT_ONCE", at_once)
+    rng = np.random.default_rng(5)
+    chance = 1 / np.arange(1, 401)
+    rows = []
+    for i in range(350):
+        words = rng.choice(400, rng.integers(0, 120), p=chance / chance.sum())
+        rows.append((i % 300, " ".join(f"{'ab'[i % 3 % 2]}{w}" for w in words)))
+    (row,) = search_module._index_row(rows).to_dict("records")
+    terms, starts = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["starts"], np.int32)
+    docs, lengths = np.frombuffer(row["docs"], np.uint16), np.frombuffer(row["lengths"], np.int32)
+    counts, ids = np.frombuffer(row["counts"], np.uint8), np.frombuffer(row["ids"], np.int64)
+    table, dfs = np.zeros((len(terms), 350)), np.diff(starts)
+    table[np.repeat(np.arange(len(terms)), dfs), docs] = counts
+    own = [np.flatnonzero(table[:, q]) for q in range(queries)]
+    every = np.concatenate(own)
+    batch = search_module.Batch(np.arange(queries), np.array([len(t) for t in own]), terms[every], dfs[every], 350)
+    impact = table * 2.2 / (table + 1.2 * (0.25 + 0.75 * lengths / lengths.mean()))
+    idf = np.log(1 + (350 - dfs + 0.5) / (dfs + 0.5))
+    want = []
+    for q, t in enumerate(own):
+        score = np.round((idf[t][:, None] * impact[t]).sum(axis=0), 6)
+        found = [(-s, i) for s, i in zip(score.tolist(), ids.tolist()) if s > 0 and i != q]
+        want.append([(i, -s) for s, i in sorted(found)[:10]])
+    least = np.array([w[9][1] if bound and len(w) == 10 else -np.inf for w in want])
+    hits = search_module.Hits(10, least)
+    shard = search_module.ShardIndex(ids, terms, starts, docs, counts, lengths, lengths.mean())
+    shard.search(batch, hits, search_module.Space())
+    for q, w in enumerate(want):
+        mine = hits.query == q
+        assert hits.doc_id[mine].tolist() == [i for i, _ in w]
+        assert np.allclose(hits.score[mine], [s for _, s in w], atol=2e-6)
+
+
 def test_search_finds_others_beside_many_rows_of_its_own(spark):
     rows = [(20, "a b c", "a")] * 15 + [(i, f"a b w{i}", "a") for i in range(1, 5)]
     found = sorted((r["rank"], r["doc_id"]) for r in search(docs(spark, rows)).collect())
